@@ -5,22 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are treated as hot, so what gets broadcast has at most as many rows.
-MAX_HOT_KEYS = 256
-# A key is hot when it holds at least this share of all rows.
-HOT_SHARE = 1 / 512
-# Keys the sketch tracks; its error is about total / tracked, far below the hot share.
+# A key is hot when it holds at least this share of all rows, so at most this many keys are hot,
+# and what gets broadcast for them has at most as many rows.
+MAX_HOT_KEYS = 2048
+HOT_SHARE = 1 / MAX_HOT_KEYS
+# Keys each sketch tracks; its error stays well below the hot share.
 TRACKED_KEYS = 16_384
+# Sketches of many tasks are merged in this many groups before the last merge.
+MERGE_GROUPS = 512
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding at least ``share`` of the rows: one mergeable sketch per task, no shuffle by key."""
-    sketch = df.where(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k({key}, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias("top"),
-        F.count(F.lit(1)).alias("total"))
-    return (sketch.select(F.explode("top").alias("t"), "total")
-            .where(F.col("t.count") >= F.col("total") * share)
-            .select(F.col("t.item").alias(key)))
+    """Keys holding at least ``share`` of the rows: one sketch per task, merged in two steps, no
+    shuffle of rows."""
+    grouped = df.where(F.col(key).isNotNull()).withColumn("g", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
+    sketches = grouped.groupBy("g").agg(
+        F.expr(f"approx_top_k_accumulate({key}, {TRACKED_KEYS})").alias("sketch"), F.count(F.lit(1)).alias("n"))
+    merged = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"),
+                          F.sum("n").alias("total"))
+    top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})")).alias("t"), "total")
+    return top.where(F.col("t.count") >= F.col("total") * share).select(F.col("t.item").alias(key))
 
 
 def join_hot_split(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
@@ -32,8 +36,6 @@ def join_hot_split(left: DataFrame, right: DataFrame, key: str, how: str = "inne
     count as hot changes the plan only, never the result; ``keys_from`` names a cheaper input to
     find them in.
     """
-    if left.isStreaming or right.isStreaming:
-        return left.join(right, key, how)
     hot = F.broadcast(hot_keys((left if keys_from is None else keys_from).select(key), key, share))
     hot_right = F.broadcast(right.join(hot, key, "left_semi"))
     heavy = left.join(hot, key, "left_semi").join(hot_right, key, how)

@@ -18,10 +18,12 @@ logs AS (
          CASE event_type WHEN 'view' THEN 'home' WHEN 'click' THEN 'good_detail'
               WHEN 'purchase' THEN 'trade' WHEN 'error' THEN 'search' END AS page_id,
          CASE WHEN event_type <> 'view' THEN 'home' END AS last_page_id,
-         CASE WHEN event_type IN ('purchase', 'error') THEN p_name ELSE CAST(sku AS VARCHAR) END AS item,
+         CASE WHEN event_type NOT IN ('purchase', 'error') THEN CAST(sku AS VARCHAR)
+              WHEN k >= 10 THEN event_type || ' K' || k || ' ' || upper(event_type[1]) || event_type[2:]
+              WHEN k >= 5 THEN '-- !' END AS item,
          CASE WHEN event_type IN ('purchase', 'error') THEN 'keyword' ELSE 'sku_id' END AS item_type,
          CAST(round(value * 100) AS BIGINT) AS dur
-  FROM ev LEFT JOIN part ON p_partkey = sku),
+  FROM ev),
 pages AS (SELECT * FROM logs WHERE page_id IS NOT NULL)
 """
 
@@ -39,9 +41,9 @@ PRICE = "CAST(l_extendedprice AS DECIMAL(16,2))"
 
 ORDERS = f"""
 order_rows AS (
-  SELECT o_orderkey AS id, o_custkey AS user_id, c_nationkey AS province_id, {EPOCH} + o_orderkey * 60000 AS t,
+  SELECT o_orderkey AS id, o_custkey AS user_id, o_custkey // 100 AS province_id, {EPOCH} + o_orderkey * 60000 AS t,
          CASE o_orderstatus WHEN 'F' THEN '1003' WHEN 'P' THEN '1005' ELSE '1002' END AS reached
-  FROM orders LEFT JOIN customer ON o_custkey = c_custkey)
+  FROM orders)
 """
 
 DETAILS = f"""

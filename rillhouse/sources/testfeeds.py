@@ -63,13 +63,13 @@ def millis(ntz: str) -> Column:
 
 def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order created, then moved on to its status."""
-    users = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    orders = table(spark, sf_dir, "orders").join(users, "o_custkey", "left")
+    orders = table(spark, sf_dir, "orders")
     reached = (F.when(F.col("o_orderstatus") == "F", S.ORDER_CANCELLED)
                .when(F.col("o_orderstatus") == "P", S.ORDER_REFUNDED).otherwise("1002"))
 
     def row(status: Column) -> Column:
-        return texts(id="o_orderkey", user_id="o_custkey", province_id="c_nationkey", order_status=status)
+        return texts(id="o_orderkey", user_id="o_custkey", province_id=F.floor(F.col("o_custkey") / 100),
+                     order_status=status)
 
     t = order_clock("o_orderkey")
     return changes(orders, "order_info",
@@ -268,12 +268,13 @@ def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     events = table(spark, sf_dir, "events").withColumn("k", props_k()).withColumn(
         "sku", F.floor(F.col("value") * 4).cast("bigint"))
-    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("sku"), F.col("p_name").alias("search"))
-    events = events.join(parts, "sku", "left")
     kind = F.col("event_type")
     page_id = (F.when(kind == "view", "home").when(kind == "click", "good_detail")
                .when(kind == "purchase", "trade").when(kind == "error", "search"))
     is_search = kind.isin("purchase", "error")
+    # Some texts are missing, some hold no word, all others repeat one.
+    search = F.when(F.col("k") >= 10, F.concat_ws(" ", kind, F.concat(F.lit("K"), text("k")), F.initcap(kind))).when(
+        F.col("k") >= 5, "-- !")
     common = F.struct(
         text("user_id").alias("mid"), F.when(F.col("k") >= 50, "1").otherwise("0").alias("is_new"),
         F.concat(F.lit("v"), F.floor(F.col("k") / 25).cast("string")).alias("vc"),
@@ -282,7 +283,7 @@ def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("_", text("user_id"), F.date_format("ts", "yyyyMMdd")).alias("sid"))
     page = F.when(page_id.isNotNull(), F.struct(
         page_id.alias("page_id"), F.when(kind != "view", "home").alias("last_page_id"),
-        F.when(is_search, F.col("search")).otherwise(text("sku")).alias("item"),
+        F.when(is_search, search).otherwise(text("sku")).alias("item"),
         F.when(is_search, "keyword").otherwise("sku_id").alias("item_type"),
         F.round(F.col("value") * 100).cast("bigint").alias("during_time")))
     shown = F.array(texts(item="sku", pos_id=F.lit("1")), texts(item="sku", pos_id=F.lit("2"), mid=F.lit("clash")))
