@@ -56,11 +56,15 @@ def traffic_sums(parts: DataFrame, size: str = S.TRAFFIC_WINDOW) -> DataFrame:
         *[F.sum(c).alias(c) for c in ("uv_ct", "sv_ct", "pv_ct", "dur_sum")])
 
 
-def traffic_part(df: DataFrame, uv: int = 0, sv: int = 0, pv: int = 0, dur: Column | None = None) -> DataFrame:
-    """Rows in the common shape of the three traffic measures."""
-    return df.select("et", *TRAFFIC_DIMS, *[
-        F.lit(n).cast("bigint").alias(c) for n, c in ((uv, "uv_ct"), (sv, "sv_ct"), (pv, "pv_ct"))],
-        F.coalesce(F.lit(0) if dur is None else dur, F.lit(0)).cast("bigint").alias("dur_sum"))
+def traffic_part(df: DataFrame, uv: Column | int = 0, sv: Column | int = 0, pv: int = 0,
+                 dur: Column | int = 0) -> DataFrame:
+    """Rows in the common shape of the traffic measures."""
+    def measure(value: Column | int, name: str) -> Column:
+        column = F.lit(value) if isinstance(value, int) else value
+        return F.coalesce(column, F.lit(0)).cast("bigint").alias(name)
+
+    return df.select("et", *TRAFFIC_DIMS, measure(uv, "uv_ct"), measure(sv, "sv_ct"), measure(pv, "pv_ct"),
+                     measure(dur, "dur_sum"))
 
 
 def home_detail_counts(visits: DataFrame, size: str = S.HOME_DETAIL_WINDOW) -> DataFrame:
