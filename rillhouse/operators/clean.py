@@ -37,9 +37,10 @@ def without_deletes(changes: DataFrame) -> DataFrame:
     return changes.where(~F.col("op").eqNullSafe(S.OP_DELETE))
 
 
-def with_event_time(df: DataFrame, ms: str, delay: str) -> DataFrame:
-    """Add ``et`` from epoch milliseconds, and its watermark."""
-    return df.withColumn("et", event_time(F.col(ms))).withWatermark("et", delay)
+def with_event_time(df: DataFrame, ms: str, delay: str | None) -> DataFrame:
+    """Add ``et`` from epoch milliseconds and, unless ``delay`` is None, its watermark."""
+    timed = df.withColumn("et", event_time(F.col(ms)))
+    return timed if delay is None else timed.withWatermark("et", delay)
 
 
 def cdc_table(changes: DataFrame, table: str, db: str = S.SOURCE_DB,

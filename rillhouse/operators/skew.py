@@ -20,9 +20,11 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     shuffle of rows."""
     grouped = df.where(F.col(key).isNotNull()).withColumn("g", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
     sketches = grouped.groupBy("g").agg(
-        F.expr(f"approx_top_k_accumulate({key}, {TRACKED_KEYS})").alias("sketch"), F.count(F.lit(1)).alias("n"))
-    merged = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"),
-                          F.sum("n").alias("total"))
+        F.expr(f"approx_top_k_accumulate({key}, {TRACKED_KEYS})").alias("sketch"),
+        F.count(F.lit(1)).alias("n"))
+    # Grouped by a constant: without rows there is then no sketch to combine, and no hot key.
+    merged = sketches.groupBy(F.lit(1).alias("all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"), F.sum("n").alias("total"))
     top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})")).alias("t"), "total")
     return top.where(F.col("t.count") >= F.col("total") * share).select(F.col("t.item").alias(key))
 

@@ -58,10 +58,12 @@ def order_cancel_stream(changes: DataFrame, db: str = S.SOURCE_DB, wait_ms: int
 
 
 def pay_suc_stream(changes: DataFrame, order_detail: DataFrame, dic: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+    """``order_detail`` comes from ``read_order_detail``, with its watermark on ``et``, or without any."""
     payments = _timed(P.payment_src(changes, db).select(
         "order_id", F.col("payment_type").alias("payment_type_code"), "callback_time",
         F.col("ts").alias("pay_ts")), "et", ms="pay_ts")
-    details = _timed(order_detail.drop("et"), "row_et")
+    timed = "et" in order_detail.columns
+    details = order_detail.withColumnRenamed("et", "row_et") if timed else _timed(order_detail, "row_et")
     return payment_columns(lookup(interval_join(payments, details, "order_id"), dic,
                                   "payment_type_code", "payment_type_name"))
 
