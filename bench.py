@@ -28,7 +28,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     spark = build_session("bench", f"local[{cpus}]", **{
-        "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "12g"})
+        "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     cold = {n: run(n, spark, folder) for n in names}
     warm = {n: run(n, spark, folder) for n in names}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rillhouse import settings as S
 from rillhouse.operators.clean import change_order
+from rillhouse.operators.skew import join_small
 
 # Name of the cell that records a row's last delete.
 DELETED = ""
@@ -54,8 +55,8 @@ def dim_merge(routed: DataFrame) -> DataFrame:
 
 def dim_config_reset(cells: DataFrame, config: DataFrame) -> DataFrame:
     """Cells of configured sinks, written after the sink's last reset."""
-    resets = config.select("sink_table", "reset_ts")
-    return (cells.join(resets, "sink_table")
+    resets = config.groupBy("sink_table").agg(F.max("reset_ts").alias("reset_ts"))
+    return (join_small(cells, resets, ["sink_table"])
             .where(F.col("reset_ts").isNull() | (F.col("seq.ts_ms") > F.col("reset_ts")))
             .drop("reset_ts"))
 

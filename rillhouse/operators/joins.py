@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from rillhouse import settings as S
 from rillhouse.operators.clean import effective_row
+from rillhouse.operators.skew import join_small
 
 
 def lookup(df: DataFrame, dic: DataFrame, code: str, name: str, how: str = "left") -> DataFrame:
-    """Add the dictionary name of a code. The planner broadcasts the dictionary while it is small
-    enough by its measured size, and otherwise shuffles."""
+    """Add the dictionary name of a code."""
     names = dic.select(F.col("dic_code").alias(code), F.col("info.dic_name").alias(name))
-    return df.join(names, code, how)
+    return join_small(df, names, [code], how)
 
 
 def interval_join(events: DataFrame, rows: DataFrame, key: str, time: str = "et", row_time: str = "row_et",
@@ -44,6 +44,7 @@ def route_changes(changes: DataFrame, config: DataFrame, by_op: bool = False) ->
     """
     rows = effective_row(changes).withColumn("source_table", F.col("source")["table"])
     if by_op:
-        return rows.withColumn("source_type", F.col("op")).join(config, ["source_table", "source_type"])
-    routed = rows.join(config, "source_table")
+        return rows.withColumn("source_type", F.col("op")).transform(
+            lambda r: join_small(r, config, ["source_table", "source_type"]))
+    routed = join_small(rows, config, ["source_table"])
     return routed.where(F.col("reset_ts").isNull() | (F.col("ts_ms") > F.col("reset_ts")))

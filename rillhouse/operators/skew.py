@@ -1,4 +1,4 @@
-"""Joins whose left key may hold a large share of all rows."""
+"""Joins whose left key may hold a large share of all rows, and joins with small tables."""
 
 from __future__ import annotations
 
@@ -11,6 +11,8 @@ MAX_HOT_KEYS = 2048
 HOT_SHARE = 1 / MAX_HOT_KEYS
 # Keys each sketch tracks; its error stays well below the hot share.
 TRACKED_KEYS = 16_384
+# A table of at most this many rows, counted before the join, is broadcast.
+MAX_BROADCAST_ROWS = 50_000
 # Sketches of many tasks are merged in this many groups before the last merge.
 MERGE_GROUPS = 512
 
@@ -43,3 +45,21 @@ def join_hot_split(left: DataFrame, right: DataFrame, key: str, how: str = "inne
     heavy = left.join(hot, key, "left_semi").join(hot_right, key, how)
     light = left.join(hot, key, "left_anti").join(right, key, how)
     return heavy.unionByName(light)
+
+
+def join_small(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
+               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Equi-join with a table that is unique by ``keys`` and expected to be small.
+
+    Its rows are counted first. Up to ``max_rows`` it is broadcast, so that the left side, whose few
+    keys each hold much of the data, is not shuffled by them. Beyond, hot keys are split off.
+    """
+    if right.limit(max_rows + 1).count() <= max_rows:
+        return left.join(F.broadcast(right), keys, how)
+    if left.isStreaming:
+        return left.join(right, keys, how)
+    if len(keys) == 1:
+        return join_hot_split(left, right, keys[0], how)
+    whole = F.when(F.expr(" AND ".join(f"{k} IS NOT NULL" for k in keys)), F.to_json(F.struct(*keys)))
+    right = right.withColumn("join_key", whole).drop(*keys)
+    return join_hot_split(left.withColumn("join_key", whole), right, "join_key", how).drop("join_key")

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from rillhouse import settings as S
 
 
-def upsert_latest(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """Keep the last row of each key. Partial maxima are built before the shuffle."""
-    rows = F.struct(*[F.col(c) for c in df.columns])
-    latest = df.groupBy(*keys).agg(F.max_by(rows, order).alias("__row"))
-    return latest.select("__row.*")
+def upsert_latest(df: DataFrame, keys: list[str], order: Column, drop: tuple[str, ...] = ()) -> DataFrame:
+    """Keep the last row of each key, without the columns to drop. Partial maxima are built before
+    the shuffle."""
+    columns = [c for c in df.columns if c not in drop]
+    others = [c for c in columns if c not in keys]
+    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("last"))
+    return latest.select(*[F.col(c) if c in keys else F.col(f"last.{c}").alias(c) for c in columns])
 
 
 def latest_config(changes: DataFrame, keys: list[str], fields: tuple[str, ...]) -> DataFrame:

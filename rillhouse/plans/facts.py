@@ -33,24 +33,25 @@ def dwd_cart_add(changes: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
 
 
 def _latest(df: DataFrame, key: str) -> DataFrame:
-    return upsert_latest(df, [key], F.col("seq")).drop("seq")
+    return upsert_latest(df, [key], F.col("seq"), drop=("seq",))
 
 
 def _details_with(changes: DataFrame, orders: DataFrame, db: str) -> DataFrame:
     """Latest details of the given orders, with activity and coupon where there are any.
 
     Every side is reduced to its latest row per key before it is joined, as the result keeps one
-    row per detail anyway. Only ``order_id`` can then repeat, on the detail side.
+    row per detail anyway. Only ``order_id`` can then repeat, on the detail side; its hot values are
+    found in the reduced details, whose shuffle is reused.
     """
-    source = P.order_detail_src(changes, db)
+    details = _latest(P.order_detail_src(changes, db), "id")
     orders = _latest(orders, "id").select(F.col("id").alias("order_id"), "user_id", "province_id")
     activities = _latest(P.order_activity_src(changes, db), "order_detail_id").drop("ts")
     coupons = _latest(P.order_coupon_src(changes, db), "order_detail_id").drop("ts")
     # Three sides reduced by the detail's id already lie partitioned by it: these joins do not shuffle.
-    details = (_latest(source, "id")
-               .join(activities.withColumnRenamed("order_detail_id", "id"), "id", "left")
-               .join(coupons.withColumnRenamed("order_detail_id", "id"), "id", "left"))
-    return join_hot_split(details, orders, "order_id", keys_from=source).select(*ORDER_DETAIL_COLUMNS)
+    complete = (details
+                .join(activities.withColumnRenamed("order_detail_id", "id"), "id", "left")
+                .join(coupons.withColumnRenamed("order_detail_id", "id"), "id", "left"))
+    return join_hot_split(complete, orders, "order_id", keys_from=details).select(*ORDER_DETAIL_COLUMNS)
 
 
 def dwd_order_detail(changes: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
@@ -82,9 +83,8 @@ def payment_columns(joined: DataFrame) -> DataFrame:
 def dwd_refund(changes: DataFrame, dic: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
     """Refund requests of refunded orders, with the names of their kind and reason."""
     orders = _latest(P.order_refund_src(changes, db), "id").select(F.col("id").alias("order_id"), "province_id")
-    source = P.refund_src(changes, db)
-    joined = join_hot_split(_latest(source, "id"), orders, "order_id", keys_from=source)
-    return refund_columns(joined, dic)
+    refunds = _latest(P.refund_src(changes, db), "id")
+    return refund_columns(join_hot_split(refunds, orders, "order_id"), dic)
 
 
 def refund_columns(joined: DataFrame, dic: DataFrame) -> DataFrame:

@@ -21,7 +21,11 @@ FACT_TABLES = ("order_info", "order_detail", "order_detail_activity", "order_det
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. One that has fewer files than there are cores is spread over the cores, as its
+    one row group would otherwise be one task."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
 
 
 def text(value: Column | str) -> Column:

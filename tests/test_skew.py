@@ -1,7 +1,7 @@
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from rillhouse.operators.skew import hot_keys, join_hot_split
+from rillhouse.operators.skew import hot_keys, join_hot_split, join_small
 from rillhouse.operators.upsert import upsert_latest
 
 
@@ -37,3 +37,16 @@ def test_hot_rows_are_not_shuffled(spark):
 def test_upsert_takes_the_last_row(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, None), ("a", 2, "y"), ("b", 1, "z")], "id string, ts long, v string")
     assert rows_of(upsert_latest(df, ["id"], F.col("ts"))) == [("a", 3, None), ("b", 1, "z")]
+
+
+def test_small_tables_are_broadcast_only_when_small(spark):
+    left = skewed(spark, 6000).withColumn("j", F.col("id") % 2)
+    right = left.where("k is not null").groupBy("k", "j").agg(F.max("id").alias("m"))
+    one = right.groupBy("k").agg(F.max("m").alias("m"))
+    for keys, table in ((["k"], one), (["k", "j"], right)):
+        want = left.join(table, keys, "left")
+        for limit in (10, 100_000):
+            got = join_small(left, table, keys, "left", max_rows=limit)
+            assert got.select(want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
+    plan = join_small(left, one, ["k"], max_rows=10)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan
