@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,11 @@ from rillhouse.operators import windows as W
 from rillhouse.plans import facts as PF
 from rillhouse.plans import routing as PR
 from rillhouse.plans import traffic as PT
+from rillhouse.session import shared_dir
 from rillhouse.sinks import to_snake_json
 from rillhouse.sources import feeds
 from rillhouse.sources import testfeeds as X
+from rillhouse.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,7 +53,10 @@ def ods_ingest(spark, d):
 @query
 def dim_sync(spark, d):
     feed = X.change_feed(spark, d, "user_info", "base_province", "base_dic_changes", "part_catalog", "cart_info")
-    rows = PR.dim_sync(feed, X.dim_config_changes(spark))
+    return _dim_columns(PR.dim_sync(feed, X.dim_config_changes(spark)))
+
+
+def _dim_columns(rows: DataFrame) -> DataFrame:
     fields = ("id", "login_name", "name", "user_level", "birthday", "phone_num", "dic_code", "dic_name")
     return rows.select("sink_table", "row_key", *[F.col("data")[f].alias(f) for f in fields])
 
@@ -140,6 +146,39 @@ def dws_home_detail_day(spark, d):
     return PT.dws_home_detail(X.page_log(spark, d), "1 day")
 
 
+# --- jobs as streaming queries ----------------------------------------------------------------
+
+def _landed(spark: SparkSession, df: DataFrame) -> tuple[DataFrame, str]:
+    """A stream over the rows, written to files first, and a folder for what the query writes."""
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    df.write.parquet(f"{folder}/in")
+    return spark.readStream.schema(df.schema).parquet(f"{folder}/in"), folder
+
+
+@query
+def stream_dws_traffic(spark, d):
+    """The traffic windows as a streaming query; a row a year later closes all windows."""
+    views = X.page_log(spark, d).drop("event_id")
+    late = F.lit('{"mid": "late", "sid": "late"}'), F.lit('{"page_id": "late"}')
+    last = views.agg(F.max("ts").alias("ts")).select(
+        *[F.from_json(text, views.schema[n].dataType).alias(n) for n, text in zip(("common", "page"), late)],
+        (F.col("ts") + 366 * 86_400_000).alias("ts"))
+    stream, folder = _landed(spark, views.unionByName(last))
+    jobs.dws_traffic(stream, f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
+    schema = "stt string, edt string, cur_date string, vc string, ch string, ar string, is_new string, " \
+             "uv_ct bigint, sv_ct bigint, pv_ct bigint, dur_sum bigint"
+    return spark.read.schema(schema).json(f"{folder}/out/batches/*").where("vc IS NOT NULL")
+
+
+@query
+def stream_dim_sync(spark, d):
+    """The dimensions kept current by a streaming query, then read back."""
+    feed = X.change_feed(spark, d, "user_info", "base_province", "base_dic_changes", "part_catalog")
+    stream, folder = _landed(spark, feed)
+    jobs.dim_sync(stream, X.dim_config_changes, f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
+    return _dim_columns(jobs.read_dims(spark, f"{folder}/out", X.dim_config_changes))
+
+
 # --- sources and cleaning ---------------------------------------------------------------------
 
 @query

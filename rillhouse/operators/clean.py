@@ -14,10 +14,14 @@ _CORRUPT = "_corrupt_record"
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Add ``row``, the parsed value, with its corrupt text where it is no JSON object."""
+    """Add ``row``, the parsed value, with its corrupt text where it is no JSON object.
+
+    The value passes through a one-row generator: filters on ``row`` would otherwise be pushed below
+    the projection and parse every line again.
+    """
     full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    return lines.withColumn("row", F.from_json(F.col(value), full, options))
+    return lines.select("*", F.explode(F.array(F.from_json(F.col(value), full, options))).alias("row"))
 
 
 def clean_json(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:

@@ -397,3 +397,6 @@ SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d %H:%M:%
        CAST(ts AS VARCHAR) AS datetime_text, CAST(ts + INTERVAL 8 HOUR AS VARCHAR) AS timestamp_text
 FROM events""",
 }
+
+ORACLES["stream_dws_traffic"] = ORACLES["dws_traffic"]
+ORACLES["stream_dim_sync"] = ORACLES["dim_sync"]
