@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rillhouse import settings as S
 from rillhouse.operators.clean import effective_row
-from rillhouse.operators.skew import join_small
+from rillhouse.operators.skew import join_small, salted
 
 
 def lookup(df: DataFrame, dic: DataFrame, code: str, name: str, how: str = "left") -> DataFrame:
@@ -17,11 +17,12 @@ def lookup(df: DataFrame, dic: DataFrame, code: str, name: str, how: str = "left
 
 
 def interval_join(events: DataFrame, rows: DataFrame, key: str, time: str = "et", row_time: str = "row_et",
-                  before_ms: int = S.PAY_BEFORE_MS, after_ms: int = S.PAY_AFTER_MS) -> DataFrame:
+                  before_ms: int = S.PAY_BEFORE_MS, after_ms: int = S.PAY_AFTER_MS, salts: int = 1) -> DataFrame:
     """Rows with the same key whose time lies in [event - before, event + after], ends included.
 
     Both sides meet on (key, time bucket): an event goes to the one or two buckets its band touches,
-    a row to just one. A pair thus meets once, and a key with very many rows is spread over time.
+    a row to just one. A pair thus meets once, and a key with very many rows is spread over time. Rows
+    of one key at one time are split by adaptive execution or, on streams, by ``salts``.
     """
     width = before_ms + after_ms + 1
     event_ms, row_ms = F.unix_millis(time), F.unix_millis(row_time)
@@ -29,12 +30,14 @@ def interval_join(events: DataFrame, rows: DataFrame, key: str, time: str = "et"
     last = F.floor((event_ms + after_ms) / width)
     left = events.withColumn("bucket", F.explode(F.array_distinct(F.array(first, last))))
     right = rows.withColumn("bucket", F.floor(row_ms / width))
+    right, left = salted(right, left, salts)
     band = F.expr(f"{row_time} BETWEEN {time} - INTERVAL '{before_ms / 1000}' SECOND "
                   f"AND {time} + INTERVAL '{after_ms / 1000}' SECOND")
     joined = left.alias("l").join(
         right.alias("r"),
-        (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l.bucket") == F.col("r.bucket")) & band)
-    return joined.drop(F.col("r.bucket"), F.col(f"r.{key}")).drop("bucket")
+        (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l.bucket") == F.col("r.bucket"))
+        & (F.col("l.salt") == F.col("r.salt")) & band)
+    return joined.drop(F.col("r.bucket"), F.col("r.salt"), F.col(f"r.{key}")).drop("bucket", "salt")
 
 
 def route_changes(changes: DataFrame, config: DataFrame, by_op: bool = False) -> DataFrame:

@@ -63,3 +63,14 @@ def join_small(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
     whole = F.when(F.expr(" AND ".join(f"{k} IS NOT NULL" for k in keys)), F.to_json(F.struct(*keys)))
     right = right.withColumn("join_key", whole).drop(*keys)
     return join_hot_split(left.withColumn("join_key", whole), right, "join_key", how).drop("join_key")
+
+
+def salted(left: DataFrame, right: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a column ``salt`` to join on as well: left rows get one each, right rows all.
+
+    Streams are joined without adaptive execution, so this is how their hot keys spread over tasks.
+    """
+    if salts == 1:
+        return left.withColumn("salt", F.lit(0)), right.withColumn("salt", F.lit(0))
+    one = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    return left.withColumn("salt", one), right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

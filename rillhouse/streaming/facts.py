@@ -13,22 +13,27 @@ from rillhouse.functions.times import event_time
 from rillhouse.operators import facts as P
 from rillhouse.operators import windows as W
 from rillhouse.operators.joins import interval_join, lookup
+from rillhouse.operators.skew import salted
 from rillhouse.plans.facts import ORDER_DETAIL_COLUMNS, payment_columns, refund_columns
 from rillhouse.streaming.visitors import SESSION, daily_row, first_events_stream, session_row
 
+# Order rows are repeated this often, so that the details of one order reach as many tasks.
+SALTS = 8
+
 
 def _timed(df: DataFrame, name: str, delay: str = S.CHANGE_DELAY, ms: str = "ts") -> DataFrame:
     return df.withColumn(name, event_time(F.col(ms))).withWatermark(name, delay)
 
 
 def band_join(left: DataFrame, right: DataFrame, on: str, before_ms: int, after_ms: int, how: str,
-              left_time: str = "et") -> DataFrame:
+              left_time: str = "et", salts: int = 1) -> DataFrame:
     """Equi-join with right times in [left - before, left + after]; the right time is dropped, so
-    that the next join sees one event-time column."""
-    right = right.withColumnRenamed(on, f"r_{on}")
-    band = F.expr(f"{on} = r_{on} AND r_et >= {left_time} - INTERVAL '{before_ms / 1000}' SECOND "
+    that the next join sees one event-time column. ``salts`` splits left rows of one key."""
+    left, right = salted(left, right, salts)
+    right = right.withColumnsRenamed({on: f"r_{on}", "salt": "r_salt"})
+    band = F.expr(f"{on} = r_{on} AND salt = r_salt AND r_et >= {left_time} - INTERVAL '{before_ms / 1000}' SECOND "
                   f"AND r_et <= {left_time} + INTERVAL '{after_ms / 1000}' SECOND")
-    return left.join(right, band, how).drop("r_et", f"r_{on}")
+    return left.join(right, band, how).drop("r_et", f"r_{on}", "salt", "r_salt")
 
 
 def _side(df: DataFrame, on: str, *columns: str) -> DataFrame:
@@ -41,7 +46,7 @@ def _details_with(changes: DataFrame, orders: DataFrame, db: str, before_ms: int
     order_side = _side(orders, "order_id", "user_id", "province_id")
     activity_side = _side(P.order_activity_src(changes, db), "id", "activity_id", "activity_rule_id")
     coupon_side = _side(P.order_coupon_src(changes, db), "id", "coupon_id")
-    rows = band_join(details, order_side, "order_id", before_ms, after_ms, "inner")
+    rows = band_join(details, order_side, "order_id", before_ms, after_ms, "inner", salts=SALTS)
     rows = band_join(rows, activity_side, "id", before_ms, after_ms, "left")
     rows = band_join(rows, coupon_side, "id", before_ms, after_ms, "left")
     return rows.select(*ORDER_DETAIL_COLUMNS)
@@ -64,14 +69,14 @@ def pay_suc_stream(changes: DataFrame, order_detail: DataFrame, dic: DataFrame,
         F.col("ts").alias("pay_ts")), "et", ms="pay_ts")
     timed = "et" in order_detail.columns
     details = order_detail.withColumnRenamed("et", "row_et") if timed else _timed(order_detail, "row_et")
-    return payment_columns(lookup(interval_join(payments, details, "order_id"), dic,
+    return payment_columns(lookup(interval_join(payments, details, "order_id", salts=SALTS), dic,
                                   "payment_type_code", "payment_type_name"))
 
 
 def refund_stream(changes: DataFrame, dic: DataFrame, db: str = S.SOURCE_DB, band_ms: int = S.ORDER_BAND_MS) -> DataFrame:
     refunds = _timed(P.refund_src(changes, db).drop("seq"), "et")
     orders = _side(P.order_refund_src(changes, db), "order_id", "province_id")
-    return refund_columns(band_join(refunds, orders, "order_id", band_ms, band_ms, "inner"), dic)
+    return refund_columns(band_join(refunds, orders, "order_id", band_ms, band_ms, "inner", salts=SALTS), dic)
 
 
 def traffic_stream(pages: DataFrame, size: str = S.TRAFFIC_WINDOW, delay: str = S.PAGE_DELAY,
