@@ -38,7 +38,9 @@ NGRAMS = (3, 4, 5)
 ROUNDS, BATCH, RATE = 14, 96, 0.5
 MISSPELT, DECAY = 0.15, 0.001
 #: Words whose value a Python worker remembers.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 300_000
+#: Texts whose words are held at the same time.
+TEXTS_AT_ONCE = 256
 WORD = re.compile(r"[^\W_]+(?:[^\w\s]?[^\W_]+)*")
 LONG_WORD = 60
 POWER = np.uint64(0xD6E8FEB86659FD93)
@@ -243,7 +245,7 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
             _scorers.clear()
             _scorers[sent.value] = Scorer(sent.value)
         scorer = _scorers[sent.value]
-        return {"k": keys, "score": scorer.scores(texts)}
+        return {"k": keys, "score": [x for i in range(0, len(texts), TEXTS_AT_ONCE) for x in scorer.scores(texts[i:i + TEXTS_AT_ONCE])]}
 
     return map_rows(docs.select(F.col(id_col).cast("long"), F.col(text_col)), run, f"{id_col} long, score double")
 
