@@ -1,8 +1,63 @@
-"""Corpus pipeline."""
+"""Corpus pipeline: toxicity, quality rules, near duplicates, personal data, packing.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and works on all documents its predecessor kept. All but the last return
+the columns of ``docs``. A stage's decisions take effect: rejected documents go, personal data is replaced, and of each
+group of near duplicates the document with the smallest id stays. Models are learned from the labels of ``sf_dir`` and
+the documents at hand. Null texts and ids, repeated rows and empty tables are handled as each operator says.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rillhouse.llm import near_duplicates, packing, pii, quality, toxicity
+from rillhouse.llm.common import table, written
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below 0.5."""
+    model = toxicity.fit(toxicity.sample(docs, table(spark, sf_dir, "labels")))
+    return toxicity.keep_clean(docs, model)
+
+
+def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither the base rules nor the learned list reject."""
+    judged = quality.judge_quality(docs, table(spark, sf_dir, "labels"))
+    return judged.where("kept").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five words, similarity of 0.8): that with the smallest id.
+
+    Rows that repeat an id and have equal texts stay as one row each; documents without id stay.
+    """
+    groups = near_duplicates.link_near_duplicates(docs, n=5, threshold=80)
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(written(gone, "near-duplicates"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with each span of personal data replaced by its kind in brackets."""
+    found = pii.find_personal_data(docs)
+    return found.select(*[pii.redacted(F.col(c), F.col("found")).alias(c) if c == "text" else c for c in docs.columns])
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of all documents with bucket and batch."""
+    return packing.pack(docs)
+
+
+STAGES = [("toxicity", drop_toxic), ("quality_rules", apply_quality_rules), ("ngram_jaccard", drop_near_duplicates),
+          ("pii", redact_personal_data), ("packing", pack_sequences)]
+
+#: Learned models and batch numbers are not expressible in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise ValueError("no stage yet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents, each written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +50,7 @@ def map_rows(df: DataFrame, f: Callable[..., dict], schema: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    ship(df.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,3 +65,21 @@ def fenced(column):
     """The value unchanged. Filters on it stay above the projection that computes it; pushed below, they
     would compute it anew for each use."""
     return F.when(F.spark_partition_id() >= 0, column)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Sends this package to the Python workers, once per application; they need not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        # A small file of the driver's own, which Spark serves to the executors.
+        archive = Path(tempfile.mkdtemp(prefix="rillhouse-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in root.rglob("*.py"):
+                z.write(f, f.relative_to(root.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _shipped.add(app)
+    return spark

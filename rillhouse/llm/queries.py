@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillhouse.llm import bpe, pii, quality, token_counts, toxicity, url_filter
+from rillhouse.llm import (bpe, exact_search, language_model, near_duplicates, packing, pii, quality, token_counts, toxicity,
+                           url_filter)
 from rillhouse.llm.common import crc_mod5, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +73,51 @@ def op1_toxicity(spark, d):
     model = toxicity.fit(toxicity.sample(docs, table(spark, d, "labels"), keep=crc_mod5(F.col("k")) != 0))
     return toxicity.score_toxicity(docs, model).select(
         "doc_id", (crc_mod5(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op4_ngram_jaccard(spark, d):
+    return near_duplicates.link_near_duplicates(table(spark, d, "documents"), n=4, threshold=85)
+
+
+ORACLES["op4_ngram_jaccard"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), i -> w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3]) END) AS g FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS c FROM r GROUP BY a) m USING (doc_id)
+"""
+
+
+@query
+def op5_exact_top_k(spark, d):
+    return exact_search.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
+ORACLES["op5_exact_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0),
+p AS (SELECT q.vec_id AS query_id, x.vec_id, list_dot_product(q.v, x.v)::BIGINT AS score FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM p
+QUALIFY rank <= 20
+"""
+
+
+@query
+def op6_language_model(spark, d):
+    docs = table(spark, d, "documents")
+    model = language_model.fit(docs.where(language_model.in_training(F.col("doc_id"))))
+    scores = language_model.score_texts(docs, model)
+    return scores.select("doc_id", (~language_model.in_training(F.col("doc_id"))).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score", "perplexity")
+
+
+@query
+def op9_packing(spark, d):
+    return packing.pack(table(spark, d, "documents"))

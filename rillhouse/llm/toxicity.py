@@ -23,10 +23,11 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import map_rows
+from rillhouse.llm.common import map_rows, ship
 
 #: Labelled texts of each class that training sees at most.
 SAMPLE_ROWS = 1800
@@ -236,20 +237,38 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return [(r["t"], r["y"]) for r in found]
 
 
+def scores_of(model: Model, texts: list[str | None]) -> list[float]:
+    if model not in _scorers:
+        _scorers.clear()
+        _scorers[model] = Scorer(model)
+    scorer = _scorers[model]
+    return [x for i in range(0, len(texts), TEXTS_AT_ONCE) for x in scorer.scores(texts[i:i + TEXTS_AT_ONCE])]
+
+
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of each row."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded: 4 * 2 ** BITS bytes
 
     def run(keys, texts):
-        if sent.value not in _scorers:
-            _scorers.clear()
-            _scorers[sent.value] = Scorer(sent.value)
-        scorer = _scorers[sent.value]
-        return {"k": keys, "score": [x for i in range(0, len(texts), TEXTS_AT_ONCE) for x in scorer.scores(texts[i:i + TEXTS_AT_ONCE])]}
+        return {"k": keys, "score": scores_of(sent.value, texts)}
 
     return map_rows(docs.select(F.col(id_col).cast("long"), F.col(text_col)), run, f"{id_col} long, score double")
 
 
+def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", limit: float = 0.5) -> DataFrame:
+    """The rows, all columns, whose score is below ``limit``."""
+    ship(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded: 4 * 2 ** BITS bytes
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            score = scores_of(sent.value, batch.column(place).to_pylist())
+            yield batch.filter(pa.array([x < limit for x in score]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 #: The scorer that this Python worker uses.
 _scorers: dict = {}
 Model.__hash__ = lambda self: id(self)
