@@ -27,7 +27,7 @@ from rillhouse.llm.common import lower_ascii
 #: Rules per key range, about.
 RANGE_RULES = 1000
 #: A byte above all bytes of UTF-8 text: closes an interval.
-TOP = F.lit(bytes([255]))
+TOP = bytes([255])
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
@@ -96,7 +96,7 @@ def _sweep(rows: DataFrame, rules: DataFrame, depth: int, count: int, shares: in
     probes = rows.withColumn("key", _key(F.slice(labels, 1, depth), F.col("path")))
     probes = probes.withColumn("range", range_of(F.col("key"))).withColumn("kind", F.lit(1))
     best = F.struct(F.length("rule").alias("len"), "host_len", "rule", "verdict")
-    edges = rules.select(best.alias("top"), F.col("key").alias("low"), F.concat("key", TOP).alias("high"))
+    edges = rules.select(best.alias("top"), F.col("key").alias("low"), F.concat("key", F.lit(TOP)).alias("high"))
     edges = edges.select("top", F.explode(F.array(F.struct(F.col("low").alias("key"), F.lit(0).alias("kind")),
                                                   F.struct(F.col("high").alias("key"), F.lit(2).alias("kind")))).alias("e"),
                          F.explode(F.sequence(range_of(F.col("low")), range_of(F.col("high")))).alias("range"))
