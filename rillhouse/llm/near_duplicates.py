@@ -34,6 +34,8 @@ from rillhouse.llm.words import chunks, hashed_words, shingles
 
 #: The sketch has 2 ** SKETCH_BITS counters, in BLOCKS rows when tasks' sketches are summed.
 SKETCH_BITS, BLOCKS = 21, 64
+#: The map of n-grams met at least twice among the first few of all sets has 2 ** MAP_BITS places of one bit.
+MAP_BITS = 26
 LOW = np.uint64((1 << 56) - 1)
 #: Fragments of the global order: the frequency class and two more bits.
 FRAGMENT_BITS = 54
@@ -84,6 +86,42 @@ def frequency_classes(texts: DataFrame, n: int) -> np.ndarray:
     return levels.reshape(-1)
 
 
+def _places(grams: np.ndarray) -> np.ndarray:
+    return ((grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MAP_BITS)).astype(np.uint32)
+
+
+def met_twice(found: DataFrame) -> np.ndarray:
+    """A bit for each place of a map of fixed size: whether n-grams of ``prefix`` hit it at least twice.
+
+    An n-gram whose bit is off is in one set only, so it leads to no candidate; most of these are dropped here.
+    """
+    width = (1 << MAP_BITS) // BLOCKS
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.sort(_places(np.asarray(batch.column(0).flatten())))
+            edges = np.searchsorted(at, np.arange(1, BLOCKS) * width)
+            for b, part in enumerate(np.split(at, edges)):
+                if len(part):
+                    yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([part.tobytes()], pa.binary())], ["block", "at"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hits: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for b, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                at, n = np.unique(np.frombuffer(data.as_buffer(), np.uint32) - np.uint32(b * width), return_counts=True)
+                held = hits.setdefault(b, np.zeros(width, np.uint8))
+                held[at] = np.minimum(held[at] + n, 2)
+        for b, held in hits.items():
+            yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([np.packbits(held == 2).tobytes()], pa.binary())], ["block", "bits"])
+
+    parts = found.select("prefix").mapInArrow(spread, "block long, at binary").repartition(BLOCKS, "block")
+    bits = np.zeros((BLOCKS, width // 8), np.uint8)
+    for r in parts.mapInArrow(add, "block long, bits binary").collect():  # fixed size: 2 ** MAP_BITS bits
+        bits[r["block"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return bits.reshape(-1)
+
+
 def _ordered(s: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """A set in the global order, as numbers that sort by it."""
     return np.sort((levels[s >> np.uint64(64 - SKETCH_BITS)].astype(np.uint64) << np.uint64(56)) | (s & LOW))
@@ -111,36 +149,49 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
                 ["id", "size", "sign", "prefix"])
 
     found = written(rows.select("id", some).mapInArrow(classify, "id long, size long, sign binary, prefix array<long>"), "sets")
-    classes = found.where("size > 0").groupBy("sign").agg(
-        F.min("id").alias("first_id"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    twice = spark.sparkContext.broadcast(met_twice(found))
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = batch.column(3)
+            flat, n = np.asarray(grams.flatten()), np.asarray(grams.value_lengths())
+            at = _places(flat)
+            keep = (twice.value[at >> np.uint32(3)] >> (np.uint32(7) - (at & np.uint32(7))).astype(np.uint8)) & 1 > 0
+            ends = np.concatenate([[0], np.cumsum(keep)])[np.concatenate([[0], np.cumsum(n)])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(ends.astype(np.int32), flat[keep])], batch.schema.names)
+
+    thinned = found.where("size > 0").select("id", "size", "sign", "prefix").mapInArrow(
+        thin, "id long, size long, sign binary, prefix array<long>")
+    classes = thinned.groupBy("sign").agg(F.min("id").alias("first_id"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    postings = classes.select("node", "size", F.explode("prefix").alias("gram"))
-    shared = postings.groupBy("gram").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # Dealt by n-gram once, for the counts and for the join with them.
+    postings = classes.select("node", "size", F.explode("prefix").alias("gram")).repartition("gram")
+    shared = postings.groupBy("gram").agg(F.min(F.struct("node", "size")).alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
     postings = written(postings.join(shared, "gram"), "postings")
-
-    first = postings.where("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("common"))
-    first = first.groupBy("node").agg(F.max_by("pivot", F.struct("common", -F.col("pivot"))).alias("b")).withColumnRenamed("node", "a")
-    links = _verified(spark, first, rows, classes, n, threshold, levels)
-    roots = components(links)
-
-    placed = postings.select("gram", "node", "size").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = written(placed, "placed")
-    in_root = placed.groupBy("gram", "root").agg(F.count("*").alias("n"))
-    most = in_root.groupBy("gram").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    open_grams = placed.join(most.drop("roots"), "gram")
+    grams = postings.drop("pivot")
+
+    first = postings.where("node <> pivot.node").groupBy(F.col("node").alias("a"), F.col("pivot.node").alias("b")).agg(
+        F.count("*").alias("common"), F.first(F.least("size", "pivot.size")).alias("low"), F.first(F.greatest("size", "pivot.size")).alias("high"))
+    first = first.where(_may_link(threshold)).groupBy("a").agg(F.max_by("b", F.struct("common", -F.col("b"))).alias("b"))
+    links = _verified(first, rows, classes, n, threshold, levels)
+    roots = written(components(links), "roots")
+
+    placed = grams.join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_grams = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("gram")
+    placed = written(placed.join(_small(written(open_grams, "open-grams")), "gram"), "placed")
+    most = placed.groupBy("gram", "root").agg(F.count("*").alias("n")).groupBy("gram").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+    placed = placed.join(most, "gram")
     # Each pair has a side outside the n-gram's largest component; if both are, the smaller node comes first.
-    outside = open_grams.where("root <> main").select("gram", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"))
-    other = open_grams.select("gram", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"), "main")
+    outside = placed.where("root <> main").select("gram", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"))
+    other = placed.select("gram", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"), "main")
     low, high = F.least("sa", "sb"), F.greatest("sa", "sb")
     pairs = outside.join(other, "gram").where(
         (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("main")) | (F.col("a") < F.col("b"))) & (100 * low >= threshold * high))
     pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
         F.count("*").alias("common"), F.first(low).alias("low"), F.first(high).alias("high"))
-    kept = lambda s: F.ceil(F.lit(threshold) * s / 100) - 1  # noqa: E731  what lies beyond the prefix
-    need = F.ceil(F.lit(threshold) * (F.col("low") + F.col("high")) / (100 + threshold))
-    pairs = pairs.where(F.col("common") + F.greatest(kept(F.col("low")), kept(F.col("high"))) >= need).select("a", "b")
-    roots = components(links.unionAll(_verified(spark, pairs, rows, classes, n, threshold, levels)))
+    more = _verified(pairs.where(_may_link(threshold)).select("a", "b"), rows, classes, n, threshold, levels)
+    roots = components(links.unionAll(more))
 
     named = classes.join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
@@ -152,15 +203,26 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
         F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id")
 
 
-def _verified(spark, pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, threshold: int, levels) -> DataFrame:
+def _may_link(threshold: int):
+    """The count filter on columns common, low and high (sizes): with all n-grams beyond the first few, enough can overlap."""
+    beyond = F.ceil(F.lit(threshold) * F.col("high") / 100) - 1
+    need = F.ceil(F.lit(threshold) * (F.col("low") + F.col("high")) / (100 + threshold))
+    return (F.col("common") + beyond >= need) & (100 * F.col("low") >= threshold * F.col("high"))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if it has at most ``BROADCAST_ROWS`` rows; changes the plan only."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, threshold: int, levels) -> DataFrame:
     """The pairs (a, b) of classes that are similar enough, by summed overlaps of fragments."""
     pairs = written(pairs, "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     # A class's set is made again from one of its texts: the one with the smallest id.
     wanted = written(classes.join(wanted, "node").select("node", "sign", F.col("first_id").alias("id")), "wanted")
     wanted = wanted.withColumn("id", F.coalesce("id", F.lit(-1)))
-    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    texts = rows.withColumn("id", F.coalesce("id", F.lit(-1))).where("text IS NOT NULL").join(F.broadcast(wanted) if few else wanted, "id")
+    texts = rows.withColumn("id", F.coalesce("id", F.lit(-1))).where("text IS NOT NULL").join(_small(wanted), "id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,10 +237,12 @@ def _verified(spark, pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: i
                                               pa.array([o[2] for o in out], pa.list_(pa.int64()))], ["node", "part", "grams"])
 
     parts = texts.select("node", "sign", "text").mapInArrow(cut, "node long, part long, grams array<long>")
-    parts = written(parts, "fragments").dropDuplicates(["node", "part"])  # rows may repeat an id with its text
+    parts = written(parts, "fragments")
     left, right = (parts.select(F.col("node").alias(c), "part", F.col("grams").alias(f"grams_{c}")) for c in "ab")
     both = pairs.join(left, "a").join(right, ["b", "part"])
-    overlap = both.groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("grams_a", "grams_b"))).alias("overlap"))
+    # Rows may repeat an id with its text, so each fragment counts once.
+    partial = both.select("a", "b", "part", F.size(F.array_intersect("grams_a", "grams_b")).alias("n")).groupBy("a", "b", "part").agg(F.max("n").alias("n"))
+    overlap = partial.groupBy("a", "b").agg(F.sum("n").alias("overlap"))
     sizes = classes.select("node", "size")
     overlap = overlap.join(sizes.select(F.col("node").alias("a"), F.col("size").alias("sa")), "a").join(
         sizes.select(F.col("node").alias("b"), F.col("size").alias("sb")), "b")

@@ -42,6 +42,7 @@ MISSPELT, DECAY = 0.15, 0.001
 CACHED_WORDS = 300_000
 #: Texts whose words are held at the same time.
 TEXTS_AT_ONCE = 256
+WORDS_AT_ONCE = 20_000
 WORD = re.compile(r"[^\W_]+(?:[^\w\s]?[^\W_]+)*")
 LONG_WORD = 60
 POWER = np.uint64(0xD6E8FEB86659FD93)
@@ -140,7 +141,9 @@ def train(texts: list[tuple[str, int]], seed: int = 7) -> Model:
     ids = [np.array([index.setdefault(w, len(index)) for w in words]) for words, _ in docs]
     names = list(index)
     first = len(names)
-    parts, parts_n = parts_of(names + [misspelt(w, dice) for w in names])  # row of a misspelling: first + the word's
+    both = names + [misspelt(w, dice) for w in names]  # row of a misspelling: first + the word's
+    parts, parts_n = map(np.concatenate, zip(*(parts_of(both[i:i + WORDS_AT_ONCE]) for i in range(0, len(both), WORDS_AT_ONCE))))
+    parts = parts.astype(np.int32)
     parts_at = np.cumsum(parts_n) - parts_n
     y = np.array([label for _, label in docs])
     starts = [passages(len(i)) for i in ids]
