@@ -49,6 +49,7 @@ def _packed(rows: DataFrame, size: int) -> DataFrame:
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = rows.withColumn("norm", norm).repartitionByRange(n, "dim", F.desc("norm"), "id").sortWithinPartitions("dim", F.desc("norm"), "id")
+    sorted_rows = sorted_rows.coalesce(max(1, min(n, -(-rows.count() // size))))  # few rows make few blocks
 
     def pack(batches: Batches) -> Batches:
         ids, vectors, dim = [], [], None
@@ -58,7 +59,7 @@ def _packed(rows: DataFrame, size: int) -> DataFrame:
             if np.abs(v).max() > LARGEST:
                 raise ValueError(f"a component times the scale exceeds {LARGEST}")
             return pa.RecordBatch.from_arrays(
-                [pa.array([0]), pa.array([dim], pa.int32()), pa.array([len(v)], pa.int32()), pa.array([math.sqrt((v[0] ** 2).sum())]),
+                [pa.array([0]), pa.array([dim], pa.int32()), pa.array([len(v)], pa.int32()), pa.array([math.sqrt((v ** 2).sum(1).max())]),
                  pa.array([np.array(ids, np.int64).tobytes()]), pa.array([v.astype(np.int32).tobytes()])], ["block", "dim", "n", "norm", "ids", "vectors"])
 
         for batch in batches:
@@ -115,9 +116,9 @@ def _met(pairs: DataFrame, k: int, turn: dict[int, np.ndarray]) -> DataFrame:
                 best = [np.zeros((0, 2), np.int64)] * len(qi)
                 for at in range(0, len(xi), 512):  # longest first
                     to = slice(at, at + 512)
-                    live = np.flatnonzero(length_q * length_x[at] * (1 + SLACK) + SLACK >= beat)
+                    live = np.flatnonzero(length_q * length_x[to].max() * (1 + SLACK) + SLACK >= beat)
                     if not len(live):
-                        break
+                        continue
                     bound = rq[live, :head] @ rx[to, :head].T + rest_q[live, None] * rest_x[None, to]
                     bound += SLACK * length_q[live, None] * length_x[None, to] + SLACK
                     a, b = np.nonzero((bound >= beat[live, None]) & (qi[live, None] != xi[None, to]))

@@ -7,8 +7,9 @@ frequent: the leading byte is the frequency class (from a count sketch of all te
    many of these that the rest cannot fall short (count filter).
 3. A candidate pair's overlap is counted by vertical partitioning: the global order is cut into fragments, each class
    keeps one row of n-grams per fragment, the fragments' partial overlaps are counted apart and summed per pair.
-4. To link groups of thousands of near copies without all their pairs, candidates come in two rounds: first each
-   class with one partner, the one that shares most with it among the smallest classes of its n-grams. Then all
+4. To link groups of thousands of near copies without all their pairs, candidates come step by step: first each
+   class with one partner, the one that shares most with it among one class for each of its n-grams; this is done
+   1 + ROUNDS times, with other such classes. Then all
    candidates whose classes are still in different components. A pair that is left out lies within one component.
 So components are those of all links, although not every link is checked.
 
@@ -35,7 +36,9 @@ from rillhouse.llm.words import chunks, hashed_words, shingles
 #: The sketch has 2 ** SKETCH_BITS counters, in BLOCKS rows when tasks' sketches are summed.
 SKETCH_BITS, BLOCKS = 21, 64
 #: The map of n-grams met at least twice among the first few of all sets has 2 ** MAP_BITS places of one bit.
-MAP_BITS = 26
+MAP_BITS = 28
+#: Further rounds with one partner per class, before all candidates that are left are checked.
+ROUNDS = 2
 LOW = np.uint64((1 << 56) - 1)
 #: Fragments of the global order: the frequency class and two more bits.
 FRAGMENT_BITS = 54
@@ -180,6 +183,15 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
     placed = grams.join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_grams = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("gram")
     placed = written(placed.join(_small(written(open_grams, "open-grams")), "gram"), "placed")
+    for turn in range(ROUNDS):
+        pivots = placed.groupBy("gram").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "size", "root")).alias("p"))
+        near = placed.join(pivots, "gram").where("root <> p.root").groupBy(F.col("node").alias("a"), F.col("p.node").alias("b")).agg(
+            F.count("*").alias("common"), F.first(F.least("size", "p.size")).alias("low"), F.first(F.greatest("size", "p.size")).alias("high"))
+        near = near.where(_may_link(threshold)).groupBy("a").agg(F.max_by("b", F.struct("common", -F.col("b"))).alias("b"))
+        links = links.unionAll(_verified(near, rows, classes, n, threshold, levels))
+        roots = written(components(links), "roots")
+        placed = placed.drop("root").join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        placed = written(placed.select("gram", "node", "size", "root"), "placed")
     most = placed.groupBy("gram", "root").agg(F.count("*").alias("n")).groupBy("gram").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
     placed = placed.join(most, "gram")
     # Each pair has a side outside the n-gram's largest component; if both are, the smaller node comes first.
