@@ -159,7 +159,7 @@ def _landed(spark: SparkSession, df: DataFrame) -> tuple[DataFrame, str]:
 def stream_dws_traffic(spark, d):
     """The traffic windows as a streaming query; a row a year later closes all windows."""
     views = X.page_log(spark, d).drop("event_id")
-    late = F.lit('{"mid": "late", "sid": "late"}'), F.lit('{"page_id": "late"}')
+    late = F.lit('{"mid": "late", "sid": "late", "vc": "late"}'), F.lit('{"page_id": "late"}')
     last = views.agg(F.max("ts").alias("ts")).select(
         *[F.from_json(text, views.schema[n].dataType).alias(n) for n, text in zip(("common", "page"), late)],
         (F.col("ts") + 366 * 86_400_000).alias("ts"))
@@ -167,7 +167,7 @@ def stream_dws_traffic(spark, d):
     jobs.dws_traffic(stream, f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
     schema = "stt string, edt string, cur_date string, vc string, ch string, ar string, is_new string, " \
              "uv_ct bigint, sv_ct bigint, pv_ct bigint, dur_sum bigint"
-    return spark.read.schema(schema).json(f"{folder}/out/batches/*").where("vc IS NOT NULL")
+    return spark.read.schema(schema).json(f"{folder}/out/batches/*").where("NOT vc <=> 'late'")
 
 
 @query
