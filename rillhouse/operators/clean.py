@@ -13,13 +13,39 @@ from rillhouse.functions.times import event_time
 _CORRUPT = "_corrupt_record"
 
 
+def _numbers_as_text(kind: T.DataType) -> T.DataType:
+    """The type with whole numbers read as texts, inside structs too."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _numbers_as_text(f.dataType)) for f in kind.fields])
+    return T.StringType() if isinstance(kind, T.LongType) else kind
+
+
+def _numbers_back(value: Column, kind: T.DataType) -> Column:
+    """The inverse of ``_numbers_as_text``; a text that is no whole number gives null."""
+    if isinstance(kind, T.StructType):
+        fields = [_numbers_back(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields)) if _holds_numbers(kind) else value
+    return F.when(value.rlike(r"^[+-]?[0-9]+$"), value.try_cast("bigint")) if isinstance(kind, T.LongType) else value
+
+
+def _holds_numbers(kind: T.DataType) -> bool:
+    return isinstance(kind, T.LongType) or isinstance(kind, T.StructType) and any(_holds_numbers(f.dataType) for f in kind.fields)
+
+
+def parsed_fields(schema: T.StructType) -> list[Column]:
+    """The fields of ``row`` as the schema declares them."""
+    return [_numbers_back(F.col("row")[f.name], f.dataType).alias(f.name) for f in schema.fields]
+
+
 def parse_lines(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Add ``row``, the parsed value, with its corrupt text where it is no JSON object.
 
+    Whole numbers stand in ``row`` as texts, as lines may quote them; ``parsed_fields`` turns them back.
+
     The value passes through a one-row generator: filters on ``row`` would otherwise be pushed below
     the projection and parse every line again.
     """
-    full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    full = T.StructType([*_numbers_as_text(schema).fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     return lines.select("*", F.explode(F.array(F.from_json(F.col(value), full, options))).alias("row"))
 
@@ -29,7 +55,7 @@ def clean_json(lines: DataFrame, schema: T.StructType, value: str = "value") ->
     others = [c for c in lines.columns if c != value]
     kept = parse_lines(lines.where(F.col(value).isNotNull()), schema, value).where(
         F.col("row").isNotNull() & F.col(f"row.{_CORRUPT}").isNull())
-    return kept.select(*others, *[F.col("row")[n].alias(n) for n in schema.fieldNames()])
+    return kept.select(*others, *parsed_fields(schema))
 
 
 def clean_cdc(lines: DataFrame, value: str = "value") -> DataFrame:

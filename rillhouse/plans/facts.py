@@ -87,8 +87,8 @@ def dwd_refund(changes: DataFrame, dic: DataFrame, db: str = S.SOURCE_DB) -> Dat
     return refund_columns(join_hot_split(refunds, orders, "order_id"), dic)
 
 
-def refund_columns(joined: DataFrame, dic: DataFrame) -> DataFrame:
+def refund_columns(joined: DataFrame, dic: DataFrame, *more: str) -> DataFrame:
     coded = joined.withColumnsRenamed({
         "refund_type": "refund_type_code", "refund_reason_type": "refund_reason_type_code"})
     named = lookup(coded, dic, "refund_type_code", "refund_type_name")
-    return lookup(named, dic, "refund_reason_type_code", "refund_reason_type_name").select(*REFUND_COLUMNS)
+    return lookup(named, dic, "refund_reason_type_code", "refund_reason_type_name").select(*REFUND_COLUMNS, *more)

@@ -5,7 +5,7 @@ Joins of two streams hold rows only for an event-time band, which bounds their s
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse import settings as S
@@ -36,20 +36,26 @@ def band_join(left: DataFrame, right: DataFrame, on: str, before_ms: int, after_
     return left.join(right, band, how).drop("r_et", f"r_{on}", "salt", "r_salt")
 
 
-def _side(df: DataFrame, on: str, *columns: str) -> DataFrame:
-    """The right side of a band join: its key as ``on``, its columns, its time."""
-    return _timed(df, "r_et").withColumnRenamed(df.columns[0], on).select(on, *columns, "r_et")
+def _side(df: DataFrame, on: str, version: str, *columns: str) -> DataFrame:
+    """The right side of a band join: its key as ``on``, its columns, its place in the change order, its time."""
+    side = _timed(df, "r_et").withColumnsRenamed({df.columns[0]: on, "seq": version})
+    return side.select(on, *columns, version, "r_et")
+
+
+def _versions(*names: str) -> Column:
+    """Places of all sides in the change order: of rows with one key, ``read_upserts`` keeps the latest of each side."""
+    return F.array(*names).alias("versions")
 
 
 def _details_with(changes: DataFrame, orders: DataFrame, db: str, before_ms: int, after_ms: int) -> DataFrame:
-    details = _timed(P.order_detail_src(changes, db).drop("seq"), "et")
-    order_side = _side(orders, "order_id", "user_id", "province_id")
-    activity_side = _side(P.order_activity_src(changes, db), "id", "activity_id", "activity_rule_id")
-    coupon_side = _side(P.order_coupon_src(changes, db), "id", "coupon_id")
+    details = _timed(P.order_detail_src(changes, db).withColumnRenamed("seq", "v_detail"), "et")
+    order_side = _side(orders, "order_id", "v_order", "user_id", "province_id")
+    activity_side = _side(P.order_activity_src(changes, db), "id", "v_activity", "activity_id", "activity_rule_id")
+    coupon_side = _side(P.order_coupon_src(changes, db), "id", "v_coupon", "coupon_id")
     rows = band_join(details, order_side, "order_id", before_ms, after_ms, "inner", salts=SALTS)
     rows = band_join(rows, activity_side, "id", before_ms, after_ms, "left")
     rows = band_join(rows, coupon_side, "id", before_ms, after_ms, "left")
-    return rows.select(*ORDER_DETAIL_COLUMNS)
+    return rows.select(*ORDER_DETAIL_COLUMNS, _versions("v_detail", "v_order", "v_activity", "v_coupon"))
 
 
 def order_detail_stream(changes: DataFrame, db: str = S.SOURCE_DB, band_ms: int = S.ORDER_BAND_MS) -> DataFrame:
@@ -74,28 +80,28 @@ def pay_suc_stream(changes: DataFrame, order_detail: DataFrame, dic: DataFrame,
 
 
 def refund_stream(changes: DataFrame, dic: DataFrame, db: str = S.SOURCE_DB, band_ms: int = S.ORDER_BAND_MS) -> DataFrame:
-    refunds = _timed(P.refund_src(changes, db).drop("seq"), "et")
-    orders = _side(P.order_refund_src(changes, db), "order_id", "province_id")
-    return refund_columns(band_join(refunds, orders, "order_id", band_ms, band_ms, "inner", salts=SALTS), dic)
+    refunds = _timed(P.refund_src(changes, db).withColumnRenamed("seq", "v_refund"), "et")
+    orders = _side(P.order_refund_src(changes, db), "order_id", "v_order", "province_id")
+    rows = band_join(refunds, orders, "order_id", band_ms, band_ms, "inner", salts=SALTS)
+    return refund_columns(rows.withColumn("versions", _versions("v_refund", "v_order")), dic, "versions")
 
 
 def traffic_stream(pages: DataFrame, size: str = S.TRAFFIC_WINDOW, delay: str = S.PAGE_DELAY,
-                   gap_ms: int = S.SESSION_GAP_MS, expire: bool = False) -> DataFrame:
+                   gap_ms: int = S.SESSION_GAP_MS, forget_ms: int | None = None) -> DataFrame:
     """Page views, daily visitors and sessions in one window sum: all views, and the events that count."""
     dims = W.traffic_dims()
     pages = pages.where(F.col("page").isNotNull())
     views = _timed(pages.select("ts", *[c.alias(n) for n, c in dims.items()],
                                 F.col("page")["during_time"].cast("bigint").alias("during_time")), "et", delay)
     firsts = _timed(first_events_stream(
-        pages, [daily_row("day", dims), session_row(dims, gap_ms)], dims, gap_ms, expire), "et", delay)
+        pages, [daily_row("day", dims), session_row(dims, gap_ms)], dims, gap_ms, forget_ms), "et", delay)
     is_session = F.col("kind") == SESSION
     counted = W.traffic_part(firsts, uv=F.when(is_session, 0).otherwise(1), sv=F.when(is_session, 1).otherwise(0))
     parts = W.traffic_part(views, pv=1, dur=F.col("during_time")).unionByName(counted)
     return W.with_window_text(W.traffic_sums(parts, size))
 
 
-def home_detail_stream(pages: DataFrame, size: str = S.HOME_DETAIL_WINDOW, delay: str = S.PAGE_DELAY,
-                       expire: bool = False) -> DataFrame:
+def home_detail_stream(pages: DataFrame, size: str = S.HOME_DETAIL_WINDOW, delay: str = S.PAGE_DELAY) -> DataFrame:
     candidates = [daily_row(F.col("page")["page_id"], {})]
-    visits = first_events_stream(W.home_detail_pages(pages), candidates, {}, expire=expire).withColumnRenamed("kind", "page_id")
+    visits = first_events_stream(W.home_detail_pages(pages), candidates, {}).withColumnRenamed("kind", "page_id")
     return W.with_window_text(W.home_detail_counts(_timed(visits, "et", delay), size))

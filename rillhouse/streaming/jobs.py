@@ -118,9 +118,13 @@ def dws_keyword(pages: DataFrame, path: str, checkpoint: str, once: bool = False
     return window_sink(PT.dws_keyword(pages), path, checkpoint, once=once)
 
 
-def dws_traffic(pages: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    return window_sink(SF.traffic_stream(pages, expire=not once), path, checkpoint, once=once)
+def dws_traffic(pages: DataFrame, path: str, checkpoint: str, once: bool = False,
+                forget_ms: int | None = None) -> StreamingQuery:
+    """``forget_ms`` bounds the sessions a query that runs on remembers, see ``first_events_stream``."""
+    if once and forget_ms is not None:
+        raise ValueError("a run over what is available cannot forget sessions")
+    return window_sink(SF.traffic_stream(pages, forget_ms=forget_ms), path, checkpoint, once=once)
 
 
 def dws_home_detail(pages: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    return window_sink(SF.home_detail_stream(pages, expire=not once), path, checkpoint, once=once)
+    return window_sink(SF.home_detail_stream(pages), path, checkpoint, once=once)

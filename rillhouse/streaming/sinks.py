@@ -17,6 +17,8 @@ from rillhouse.operators.upsert import upsert_latest
 from rillhouse.streaming.tables import append_batch, read_batches
 
 EVERY = "60 seconds"
+# Places in the change order, one for each side a row was joined from.
+VERSIONS = T.ArrayType(T.StructType([T.StructField("ts_ms", T.LongType()), T.StructField("pos", T.LongType())]))
 Handle = Callable[[DataFrame, int], None]
 
 
@@ -71,7 +73,8 @@ def upsert_sink(df: DataFrame, path: str, checkpoint: str, once: bool = False) -
 
 
 def read_upserts(spark: SparkSession, path: str, schema: T.StructType, key: str = "id") -> DataFrame:
-    """Latest row per key of what ``upsert_sink`` wrote."""
-    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    """Latest row per key of what ``upsert_sink`` wrote; among rows of one time, the latest by their sides' ``versions``."""
+    own = [T.StructField("versions", VERSIONS), T.StructField("batch_id", T.LongType())]
+    full = T.StructType([f for f in schema.fields if f.name != "versions"] + own)
     rows = read_batches(spark, path, full)
-    return upsert_latest(rows, [key], F.struct("ts", "batch_id")).drop("batch_id")
+    return upsert_latest(rows, [key], F.struct("ts", "versions", "batch_id")).drop("versions", "batch_id")

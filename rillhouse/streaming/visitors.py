@@ -36,8 +36,6 @@ def repair_batch(logs: DataFrame, batch_id: int, state: str, order: tuple[str, .
 
 
 SESSION = "session"
-KEEP_DAYS = 31
-DAY_MS = 86_400_000
 
 
 def visit_row(kind: Column | str, key: Column, bucket: Column, keep: dict[str, Column]) -> Column:
@@ -59,7 +57,7 @@ def session_row(keep: dict[str, Column], gap_ms: int = S.SESSION_GAP_MS) -> Colu
 
 
 def first_events_stream(pages: DataFrame, rows: list[Column], keep: dict[str, Column],
-                        gap_ms: int = S.SESSION_GAP_MS, expire: bool = False) -> DataFrame:
+                        gap_ms: int = S.SESSION_GAP_MS, forget_ms: int | None = None) -> DataFrame:
     """Events that count: the first of each device and day, and those that open a session.
 
     All kinds share one stateful step, as a query may hold only one. Before rows are grouped by
@@ -67,9 +65,10 @@ def first_events_stream(pages: DataFrame, rows: list[Column], keep: dict[str, Co
     key with very many rows does not reach one task whole. A session bucket is no wider than the
     gap, so only its first event can open a session.
 
-    The input must have no watermark yet: results get theirs from ``ts``. With ``expire`` the state
-    of a key is removed once idle, which a query that runs on needs; Spark then keeps starting
-    batches to look for idle keys, so a run over what is available would not end.
+    The input must have no watermark yet: results get theirs from ``ts``. A device's days are all
+    kept. A session's last time is kept too, unless ``forget_ms`` is given: it is then removed once no
+    row of the session has come for so long by the clock, and a later row opens the session anew. Spark
+    keeps starting batches to look for idle sessions, so a run over what is available must not give it.
     """
     fields = "".join(f", {n} string" for n in keep)
     candidates = f"kind string, key string, bucket bigint, ts bigint{fields}, last_ts bigint"
@@ -87,22 +86,19 @@ def first_events_stream(pages: DataFrame, rows: list[Column], keep: dict[str, Co
         last, days = state.get if state.exists else (None, [])
         if key[0] == SESSION:
             opened, last = open_sessions(buckets, last, gap_ms)
-            idle = gap_ms
         else:
             opened = ~buckets["bucket"].isin(days)
             days = sorted({*days, *map(int, buckets["bucket"])})
-            days = [d for d in days if d >= days[-1] - KEEP_DAYS]
-            idle = (KEEP_DAYS + 1) * DAY_MS
         state.update((last, list(days)))
-        if expire:
-            state.setTimeoutDuration(idle)
+        if forget_ms is not None and key[0] == SESSION:
+            state.setTimeoutDuration(forget_ms)
         yield buckets.loc[opened, names]
 
     chosen = pages.select(F.explode(F.array_compact(F.array(*rows))).alias("row")).select("row.*")
     return (chosen.mapInPandas(reduce_rows, candidates).groupBy("kind", "key")
             .applyInPandasWithState(count_firsts, f"kind string, key string, ts bigint{fields}",
                                     "last_ts bigint, days array<bigint>", "append",
-                                    GroupStateTimeout.ProcessingTimeTimeout if expire
+                                    GroupStateTimeout.ProcessingTimeTimeout if forget_ms is not None
                                     else GroupStateTimeout.NoTimeout))
 
 

@@ -3,8 +3,10 @@ import json
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from rillhouse import schemas
+from rillhouse import schemas, settings as S
 from rillhouse.operators import clean
+from rillhouse.operators.logs import split_log, with_device
+from rillhouse.plans.traffic import dws_traffic
 from rillhouse.sources import feeds
 
 
@@ -47,6 +49,24 @@ def test_page_log_schemas_agree(spark):
         assert rows_of(df, F.col("common")["mid"], F.col("page")["during_time"].cast("bigint")) == [("m", 5)]
 
 
+def test_whole_numbers_may_be_quoted(spark):
+    texts = [json.dumps({"common": {"mid": m}, "page": {"page_id": "home", "during_time": d}, "ts": ts})
+             for m, d, ts in (("a", "1234", "1000"), ("b", 5, 2000), ("c", "x", None), ("d", 1.5, "y"))]
+    kept = clean.clean_json(lines(spark, *texts), schemas.APP_LOG)
+    assert sorted(tuple(r) for r in kept.select(F.col("common")["mid"], "ts").collect()) == \
+        [("a", 1000), ("b", 2000), ("c", None), ("d", None)]
+    typed = feeds.read_page_log(lines(spark, *texts), typed=True)
+    assert sorted(tuple(r) for r in typed.select("common.mid", "page.during_time", "ts").collect()) == \
+        [("a", 1234, 1000), ("b", 5, 2000), ("c", None, None), ("d", None, None)]
+
+
+def test_durations_survive_the_log_split(spark):
+    text = json.dumps({"common": {"mid": "m", "is_new": "0", "sid": "s"}, "page": {"page_id": "home", "during_time": 1234}, "ts": 1000})
+    split = split_log(with_device(clean.clean_json(lines(spark, text), schemas.APP_LOG)))
+    pages = feeds.read_page_log(split.where(F.col("topic") == S.TOPIC_PAGE).select("value"), typed=True)
+    assert rows_of(dws_traffic(pages), "pv_ct", "dur_sum") == [(1, 1234)]
+
+
 def test_cdc_table_takes_one_table_of_one_database(changes):
     df = changes(("a", "c", 1, None, {"id": "1"}), ("b", "c", 1, None, {"id": "2"}), ("a", "d", 2, {"id": "1"}, None))
     assert rows_of(clean.cdc_table(df, "a"), "op") == [("c",)]

@@ -15,8 +15,9 @@ from rillhouse.plans import traffic as PT
 from rillhouse.sources import testfeeds as X
 from rillhouse.sources.feeds import read_json_stream, read_order_detail
 from rillhouse.streaming import jobs
-from rillhouse.streaming.sinks import read_upserts
+from rillhouse.streaming.sinks import append_sink, read_upserts
 from rillhouse.streaming.tables import append_batch, compact, read_batches
+from rillhouse.streaming.visitors import daily_row, first_events_stream
 
 FAR = T0 + 400 * DAY
 
@@ -117,6 +118,30 @@ def test_order_detail_stream(spark, feed, changes):
     same(got, PF.dwd_order_detail(first.unionByName(later)))
 
 
+def test_order_detail_stream_keeps_the_latest_of_each_side(spark, feed, changes):
+    def activity(ts, name):
+        return ("order_detail_activity", "c", ts, None, {"order_detail_id": "a", "activity_id": name, "activity_rule_id": "R"})
+    placed, moved = order("1", T0), order("1", T0 + 1000, "u", {"province_id": "p"})
+    moved[4]["province_id"] = "q"
+    rows = changes(moved, placed, detail("a", "1", T0 + 500), activity(T0 + 900, "new"), activity(T0 + 100, "old"))
+    feed.add(rows, changes(order("9", FAR), detail("z", "9", FAR), *extras("z", FAR)))
+    feed.run(jobs.dwd_order_detail, feed.out)
+    got = read_upserts(spark, feed.out, schemas.ORDER_DETAIL).where("id <> 'z'")
+    assert rows_of(got, "province_id", "activity_id") == [("q", "new")]
+    same(got, PF.dwd_order_detail(rows))
+
+
+def test_a_day_long_past_does_not_count_again(spark, feed, pages):
+    feed.add(pages(("a", "a", "0", "home", T0)), pages(("a", "b", "0", "home", T0 + 40 * DAY)),
+             pages(("a", "c", "0", "home", T0 + HOUR)))
+
+    def firsts(stream, checkpoint, once):
+        return append_sink(first_events_stream(stream, [daily_row("day", {})], {}), feed.out, checkpoint, once=once)
+
+    feed.run(firsts)
+    assert rows_of(spark.read.parquet(feed.out), "ts") == [(T0,), (T0 + 40 * DAY,)]
+
+
 def test_order_cancel_stream_waits_for_the_cancellation(spark, feed, changes):
     def cancel(i, ts):
         return order(i, ts, "u", {"order_status": "1001"}, "1003")
