@@ -1,7 +1,8 @@
 """Near-duplicate texts by an n-gram Jaccard join with vertical partitioning.
 
 A text's set holds the hashes of its distinct word n-grams. All n-grams stand in one global order, rare before
-frequent: the leading byte is the frequency class (from a count sketch of all texts, of fixed size), the rest a hash.
+frequent: the leading byte is the frequency class (from a map of all texts' n-grams, of fixed size), the rest a hash.
+Class 0 has n-grams that are surely in one set only; they lead to no candidate and go no further.
 1. Texts with equal sets form one class; all that follows works on classes.
 2. Two sets that are similar enough share an n-gram among their first few in the global order (prefix filter), and so
    many of these that the rest cannot fall short (count filter).
@@ -33,10 +34,10 @@ from rillhouse.llm.common import ship, written
 from rillhouse.llm.components import components
 from rillhouse.llm.words import chunks, hashed_words, shingles
 
-#: The sketch has 2 ** SKETCH_BITS counters, in BLOCKS rows when tasks' sketches are summed.
-SKETCH_BITS, BLOCKS = 21, 64
-#: The map of n-grams met at least twice among the first few of all sets has 2 ** MAP_BITS places of one bit.
-MAP_BITS = 28
+#: The map of n-grams has 2 ** MAP_BITS places, summed in BLOCKS parts; 2 ** GROUP_BITS neighbouring places share a frequency class.
+MAP_BITS, GROUP_BITS, BLOCKS = 28, 5, 64
+#: N-grams that a task holds before it sends their places.
+HELD = 1 << 23
 #: Further rounds with one partner per class, before all candidates that are left are checked.
 ROUNDS = 2
 LOW = np.uint64((1 << 56) - 1)
@@ -53,81 +54,65 @@ def _sets(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
             yield np.unique(s)
 
 
-def frequency_classes(texts: DataFrame, n: int) -> np.ndarray:
-    """For each counter of the sketch, 1 + the binary logarithm of the number of sets that hit it, or 0."""
-    width = (1 << SKETCH_BITS) // BLOCKS
+def frequency_classes(texts: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each place of the map a bit, whether n-grams of the sets hit it at least twice, and for each group of places
+    1 + the binary logarithm of the most hits of one of them.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SKETCH_BITS, np.uint32)
-        for batch in batches:
-            waiting, size = [], 0
-            for s in _sets(batch.column(0).to_pylist(), n):
-                waiting.append(s)
-                size += len(s)
-                if size > 1 << 20:
-                    total += np.bincount(np.concatenate(waiting) >> np.uint64(64 - SKETCH_BITS), minlength=len(total)).astype(np.uint32)
-                    waiting, size = [], 0
-            if waiting:
-                total += np.bincount(np.concatenate(waiting) >> np.uint64(64 - SKETCH_BITS), minlength=len(total)).astype(np.uint32)
-        for b, block in enumerate(total.reshape(BLOCKS, width)):
-            if block.any():
-                yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([block.tobytes()], pa.binary())], ["block", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for b, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                total[b] = total.get(b, 0) + np.frombuffer(data.as_buffer(), np.uint32).astype(np.uint64)
-        for b, t in total.items():
-            level = (np.log2(np.maximum(t, 1)).astype(np.uint8) + (t > 0)).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([level.tobytes()], pa.binary())], ["block", "levels"])
-
-    parts = texts.mapInArrow(count, "block long, counts binary").repartition(BLOCKS, "block")
-    levels = np.zeros((BLOCKS, width), np.uint8)
-    for r in parts.mapInArrow(add, "block long, levels binary").collect():  # fixed size: a byte per counter
-        levels[r["block"]] = np.frombuffer(bytes(r["levels"]), np.uint8)
-    return levels.reshape(-1)
-
-
-def _places(grams: np.ndarray) -> np.ndarray:
-    return ((grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MAP_BITS)).astype(np.uint32)
-
-
-def met_twice(found: DataFrame) -> np.ndarray:
-    """A bit for each place of a map of fixed size: whether n-grams of ``prefix`` hit it at least twice.
-
-    An n-gram whose bit is off is in one set only, so it leads to no candidate; most of these are dropped here.
+    Places are the leading bits of the hashes. Tasks send them sorted, as packed differences: about a byte for an n-gram.
     """
     width = (1 << MAP_BITS) // BLOCKS
 
+    def packed(sets: list[np.ndarray]) -> pa.RecordBatch:
+        at = np.sort((np.concatenate(sets) >> np.uint64(64 - MAP_BITS)).astype(np.uint32))
+        blocks, data = [], []
+        for b, part in enumerate(np.split(at, np.searchsorted(at, np.arange(1, BLOCKS) * width))):
+            if len(part):
+                steps = np.diff(part, prepend=np.uint32(b * width)).astype("<u4").view(np.uint8).reshape(-1, 4)
+                blocks.append((b, len(part)))
+                data.append(pa.compress(np.ascontiguousarray(steps.T).tobytes(), "zstd", asbytes=True))
+        return pa.RecordBatch.from_arrays([pa.array([b for b, _ in blocks], pa.int64()), pa.array([k for _, k in blocks], pa.int64()),
+                                           pa.array(data, pa.binary())], ["block", "n", "steps"])
+
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
         for batch in batches:
-            at = np.sort(_places(np.asarray(batch.column(0).flatten())))
-            edges = np.searchsorted(at, np.arange(1, BLOCKS) * width)
-            for b, part in enumerate(np.split(at, edges)):
-                if len(part):
-                    yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([part.tobytes()], pa.binary())], ["block", "at"])
+            for s in _sets(batch.column(0).to_pylist(), n):
+                waiting.append(s)
+                size += len(s)
+                if size > HELD:
+                    yield packed(waiting)
+                    waiting, size = [], 0
+        if size:
+            yield packed(waiting)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits: dict[int, np.ndarray] = {}
         for batch in batches:
-            for b, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                at, n = np.unique(np.frombuffer(data.as_buffer(), np.uint32) - np.uint32(b * width), return_counts=True)
-                held = hits.setdefault(b, np.zeros(width, np.uint8))
-                held[at] = np.minimum(held[at] + n, 2)
+            for b, k, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                steps = np.frombuffer(pa.decompress(data.as_buffer(), 4 * k, "zstd", asbytes=True), np.uint8).reshape(4, k)
+                at = np.cumsum(np.ascontiguousarray(steps.T).view("<u4").reshape(-1), dtype=np.uint32)
+                first = np.flatnonzero(np.diff(at, prepend=np.uint32(width)))  # no place is that high
+                held = hits.setdefault(b, np.zeros(width, np.uint32))
+                held[at[first]] += np.diff(first, append=k).astype(np.uint32)
         for b, held in hits.items():
-            yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([np.packbits(held == 2).tobytes()], pa.binary())], ["block", "bits"])
+            most = held.reshape(-1, 1 << GROUP_BITS).max(axis=1)
+            level = np.log2(np.maximum(most, 1)).astype(np.uint8) + np.uint8(1)
+            yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([np.packbits(held > 1).tobytes()], pa.binary()),
+                                              pa.array([level.tobytes()], pa.binary())], ["block", "twice", "levels"])
 
-    parts = found.select("prefix").mapInArrow(spread, "block long, at binary").repartition(BLOCKS, "block")
-    bits = np.zeros((BLOCKS, width // 8), np.uint8)
-    for r in parts.mapInArrow(add, "block long, bits binary").collect():  # fixed size: 2 ** MAP_BITS bits
-        bits[r["block"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return bits.reshape(-1)
+    parts = texts.mapInArrow(spread, "block long, n long, steps binary").repartition(BLOCKS, "block")
+    twice, levels = np.zeros((BLOCKS, width // 8), np.uint8), np.ones((BLOCKS, width >> GROUP_BITS), np.uint8)
+    for r in parts.mapInArrow(add, "block long, twice binary, levels binary").collect():  # the map's fixed size, 40 MB
+        twice[r["block"]], levels[r["block"]] = np.frombuffer(bytes(r["twice"]), np.uint8), np.frombuffer(bytes(r["levels"]), np.uint8)
+    return twice.reshape(-1), levels.reshape(-1)
 
 
-def _ordered(s: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """A set in the global order, as numbers that sort by it."""
-    return np.sort((levels[s >> np.uint64(64 - SKETCH_BITS)].astype(np.uint64) << np.uint64(56)) | (s & LOW))
+def _ordered(s: np.ndarray, classes: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """A set in the global order, as numbers that sort by it. Those below 2 ** 56 are in no other set."""
+    twice, levels = classes
+    at = (s >> np.uint64(64 - MAP_BITS)).astype(np.uint32)
+    shared = (twice[at >> np.uint32(3)] >> (np.uint32(7) - (at & np.uint32(7))).astype(np.uint8)) & 1
+    return np.sort(((levels[at >> np.uint32(GROUP_BITS)] * shared).astype(np.uint64) << np.uint64(56)) | (s & LOW))
 
 
 def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_col: str = "doc_id",
@@ -146,26 +131,14 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
                 s = _ordered(s, levels.value)
                 size.append(len(s))
                 sign.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                prefix.append(s[:len(s) + (threshold * len(s)) // -100 + 1 if len(s) else 0].astype(np.int64))
+                few = s[:len(s) + (threshold * len(s)) // -100 + 1 if len(s) else 0]
+                prefix.append(few[few > LOW].astype(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(size, pa.int64()), pa.array(sign, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))],
                 ["id", "size", "sign", "prefix"])
 
     found = written(rows.select("id", some).mapInArrow(classify, "id long, size long, sign binary, prefix array<long>"), "sets")
-    twice = spark.sparkContext.broadcast(met_twice(found))
-
-    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grams = batch.column(3)
-            flat, n = np.asarray(grams.flatten()), np.asarray(grams.value_lengths())
-            at = _places(flat)
-            keep = (twice.value[at >> np.uint32(3)] >> (np.uint32(7) - (at & np.uint32(7))).astype(np.uint8)) & 1 > 0
-            ends = np.concatenate([[0], np.cumsum(keep)])[np.concatenate([[0], np.cumsum(n)])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(ends.astype(np.int32), flat[keep])], batch.schema.names)
-
-    thinned = found.where("size > 0").select("id", "size", "sign", "prefix").mapInArrow(
-        thin, "id long, size long, sign binary, prefix array<long>")
-    classes = thinned.groupBy("sign").agg(F.min("id").alias("first_id"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    classes = found.where("size > 0").groupBy("sign").agg(F.min("id").alias("first_id"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     # Dealt by n-gram once, for the counts and for the join with them.
