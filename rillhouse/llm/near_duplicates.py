@@ -37,7 +37,7 @@ from rillhouse.llm.words import chunks, hashed_words, shingles
 #: The map of n-grams has 2 ** MAP_BITS places, summed in BLOCKS parts; 2 ** GROUP_BITS neighbouring places share a frequency class.
 MAP_BITS, GROUP_BITS, BLOCKS = 28, 5, 64
 #: N-grams that a task holds before it sends their places.
-HELD = 1 << 23
+HELD = 1 << 21
 #: Further rounds with one partner per class, before all candidates that are left are checked.
 ROUNDS = 2
 LOW = np.uint64((1 << 56) - 1)
@@ -177,6 +177,7 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
         F.count("*").alias("common"), F.first(low).alias("low"), F.first(high).alias("high"))
     more = _verified(pairs.where(_may_link(threshold)).select("a", "b"), rows, classes, n, threshold, levels)
     roots = components(links.unionAll(more))
+    levels.destroy()  # all that needed it is written
 
     named = classes.join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))

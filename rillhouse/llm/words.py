@@ -11,7 +11,7 @@ POWER = 0xD6E8FEB86659FD93
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7,
                   0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xFF51AFD7ED558CCD], np.uint64)
 #: Bytes of text hashed in one go; a longer text is one go of its own.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 MASK = (1 << 64) - 1
 BYTES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
 _powers: dict[str, np.ndarray] = {}
@@ -45,7 +45,10 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     start, end = edge[::2], edge[1::2]
     lower = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
     up, down = _power(len(data) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTES[lower] * up[:-1])])
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.take(BYTES, lower, out=total[1:])
+    total[1:] *= up[:-1]
+    np.cumsum(total[1:], out=total[1:])
     h = mixed((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
     return h, np.bincount(np.searchsorted(np.cumsum(sizes), start, side="right"), minlength=len(texts))
 
