@@ -30,11 +30,18 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, similarity of 0.8): that with the smallest id.
 
-    Rows that repeat an id and have equal texts stay as one row each; documents without id stay.
+    Rows are linked, kept and dropped one by one, whatever their ids: rows that repeat an id and rows without id are members
+    of groups like others. An id comes before none; of rows alike in that, any one stays. Texts without words are in no group.
     """
-    groups = near_duplicates.link_near_duplicates(docs, n=5, threshold=80)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(written(gone, "near-duplicates"), "doc_id", "left_anti").select(*docs.columns)
+    rows = written(docs.select(F.monotonically_increasing_id().alias("key"), F.struct(*docs.columns).alias("document")), "near-duplicate-rows")
+    texts = rows.select("key", F.col("document.text").alias("text"))
+    groups = near_duplicates.link_near_duplicates(texts, n=5, threshold=80, id_col="key")
+    others = written(groups.where("key <> component_id").select("key", "component_id"), "near-duplicates")
+    members = others.unionAll(others.select(F.col("component_id").alias("key"), "component_id").distinct())
+    ids = rows.select("key", F.col("document.doc_id").alias("id")).join(members, "key")
+    first = ids.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"))
+    gone = written(members.join(first.select(F.col("first.key").alias("key")), "key", "left_anti").select("key"), "near-duplicates-gone")
+    return rows.join(gone, "key", "left_anti").select("document.*")
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

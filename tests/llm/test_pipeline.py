@@ -28,3 +28,14 @@ def test_stages(spark):
     packed = corpus_pipeline.pack_sequences(spark, kept, SMALL)
     words = kept.select(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0]
     assert packed.agg(F.sum("n_tokens")).first()[0] == words
+
+
+def test_one_row_of_each_group(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a, "x"), (None, a, "null"), (2, a + " end", "near"), (None, b, "x"), (None, b, "x"), (3, c, "x"), (3, c, "x"), (3, c + " end", "x"),
+            (2, d, "own"), (4, None, "empty")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"] or 0, (r["text"] or "-")[0]) for r in kept.collect()))
+    assert got == [(0, "b"), (1, "a"), (2, "d"), (3, "c"), (4, "-")]
