@@ -15,6 +15,11 @@ from rillhouse.llm import near_duplicates, packing, pii, quality, toxicity
 from rillhouse.llm.common import table, written
 
 
+def _carried(docs: DataFrame) -> DataFrame:
+    """The id, the text and the whole row, whose columns may then be named like an operator's own."""
+    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("document"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5."""
     model = toxicity.fit(toxicity.sample(docs, table(spark, sf_dir, "labels")))
@@ -23,8 +28,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the learned list reject."""
-    judged = quality.judge_quality(docs, table(spark, sf_dir, "labels"))
-    return judged.where("kept").select(*docs.columns)
+    judged = quality.judge_quality(_carried(docs), table(spark, sf_dir, "labels"))
+    return judged.where("kept").select("document.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +51,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with each span of personal data replaced by its kind in brackets."""
-    found = pii.find_personal_data(docs)
-    return found.select(*[pii.redacted(F.col(c), F.col("found")).alias(c) if c == "text" else c for c in docs.columns])
+    found = pii.find_personal_data(_carried(docs))
+    return found.select(*[pii.redacted(F.col("text"), F.col("found")).alias(c) if c == "text" else F.col("document")[c].alias(c) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,3 +39,15 @@ def test_one_row_of_each_group(spark):
     assert kept.columns == docs.columns
     got = sorted(((r["doc_id"] or 0, (r["text"] or "-")[0]) for r in kept.collect()))
     assert got == [(0, "b"), (1, "a"), (2, "d"), (3, "c"), (4, "-")]
+
+
+def test_columns_named_like_those_of_operators(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    names = {"quality_rules": ["n_words", "n_digits", "rule", "kept", "base_failed", "document"], "pii": ["base_found", "found", "document"]}
+    for name, stage in corpus_pipeline.STAGES:
+        if name in names:
+            mine = docs.withColumns({c: F.concat(F.lit(f"{c} "), "doc_id") for c in names[name]})
+            kept = stage(spark, mine, SMALL)
+            assert kept.columns == mine.columns
+            rows = kept.collect()
+            assert rows and all(r[c] == f"{c} {r['doc_id']}" for r in rows for c in names[name])
