@@ -2,8 +2,8 @@
 
 A word is the mean of the vectors of its hashed parts: itself and its character n-grams, with marks at both
 ends; so a misspelling that was never seen shares vectors with the word it comes from. The distinct words of a
-passage are averaged and enter a softmax of two classes. Long texts are cut into passages of nearly equal length of at most
-``PASSAGE`` words, their bags padded with zero vectors to that size, and a text's score is that of its worst passage: a few words then count as much
+passage are averaged and enter a softmax of two classes. Long texts are covered by overlapping passages of
+``PASSAGE`` words, each starting at most half a passage after the one before, so that a phrase of half a passage is whole in one; their bags padded with zero vectors to that size, and a text's score is that of its worst passage: a few words then count as much
 in a long text as in a short one. Training learns vectors and softmax together by stochastic gradients;
 each round takes a toxic text's worst passage so far as the example, and a clean text's two worst passages and four
 random ones; the first examples are picked by the log odds of words' document counts. Some words of the examples are misspelt at random.
@@ -77,10 +77,11 @@ def parts_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (value >> np.uint64(64 - BITS)).astype(np.int64)[order], np.bincount(owner, minlength=len(words))
 
 
-def passages(n: int, size: int = PASSAGE) -> np.ndarray:
-    """Starts of passages of nearly equal length, at most ``size`` words each."""
-    k = -(-n // size)
-    return np.arange(k) * n // max(k, 1)
+def passages(n: int, size: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of passages of at most ``size`` words; each starts at most half a passage after the one before."""
+    k = max(min(n, 1), 1 - (size - n) // (size // 2))
+    start = np.arange(k) * max(n - size, 0) // max(k - 1, 1)
+    return start, np.minimum(start + size, n)
 
 
 def misspelt(word: str, rng: random.Random) -> str:
@@ -146,7 +147,7 @@ def train(texts: list[tuple[str, int]], seed: int = 7) -> Model:
     parts = parts.astype(np.int32)
     parts_at = np.cumsum(parts_n) - parts_n
     y = np.array([label for _, label in docs])
-    starts = [passages(len(i)) for i in ids]
+    bounds = [passages(len(i)) for i in ids]
     table = rng.normal(0, 0.05, (1 << BITS, WIDTH)).astype(np.float32)
     soft, bias = rng.normal(0, 0.1, (WIDTH, 2)).astype(np.float32), np.zeros(2, np.float32)
     seen = np.full(1 << BITS, 1e-3, np.float32)
@@ -159,9 +160,10 @@ def train(texts: list[tuple[str, int]], seed: int = 7) -> Model:
         if turn:
             value = (np.add.reduceat((table @ (soft[:, 1] - soft[:, 0]))[parts], parts_at) / parts_n)[:first]
         examples = []
-        for d, s in enumerate(starts):
-            size = np.diff(np.append(s, len(ids[d])))
-            score = np.add.reduceat(value[ids[d]], s) / np.maximum(size, PASSAGE)
+        for d, (s, e) in enumerate(bounds):
+            size = e - s
+            total = np.concatenate([[0], np.cumsum(value[ids[d]], dtype=float)])
+            score = (total[e] - total[s]) / np.maximum(size, PASSAGE)
             worst = np.argsort(-score, kind="stable")[:2].tolist()
             for k in worst[:1] if y[d] else sorted({*worst, *rng.integers(len(s), size=4).tolist()}):
                 examples.append((d, np.unique(ids[d][s[k]:s[k] + size[k]])))
@@ -215,9 +217,9 @@ class Scorer:
         for ws in words:
             logit = self.model.bias
             if ws:
-                at = [*passages(len(ws)).tolist(), len(ws)]
+                start, end = (x.tolist() for x in passages(len(ws)))
                 logit += max([sum([x if (x := known.get(w)) is not None else new[w] for w in set(ws[i:j])])
-                              for i, j in zip(at, at[1:])]) / PASSAGE
+                              for i, j in zip(start, end)]) / PASSAGE
             out.append(float(1 / (1 + np.exp(-np.clip(logit, -700, 700)))))
         for w in fresh[:max(0, CACHED_WORDS - len(known))]:
             if len(w) <= LONG_WORD:
