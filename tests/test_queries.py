@@ -16,7 +16,7 @@ def db():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_its_sql(spark, db, name):
     df = queries()[name](spark, SMALL)
     cursor = db.execute(oracle_sql()[name])
