@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillhouse.llm import (bpe, exact_search, language_model, near_duplicates, packing, pii, quality, token_counts, toxicity,
+from rillhouse.llm import (bpe, exact_search, language_model, merkle, near_duplicates, packing, pii, quality, token_counts, toxicity,
                            url_filter)
 from rillhouse.llm.common import crc_mod5, table
 
@@ -121,3 +121,43 @@ def op6_language_model(spark, d):
 @query
 def op9_packing(spark, d):
     return packing.pack(table(spark, d, "documents"))
+
+
+@query
+def op11_merkle_manifest(spark, d):
+    proved = merkle.manifest(table(spark, d, "documents"))
+    return proved.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+                         "folded_root", "verified")
+
+
+def _leaf_sql(text: str) -> str:
+    """The leaf digest in SQL, for a text expression."""
+    parts = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+# crc32 by its polynomial, bit by bit: each byte of the id's text is followed by eight shifts, marked -1.
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, source, {_leaf_sql('text')} AS leaf, {_leaf_sql("replace(text, chr(10), '')")} AS changed,
+    xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END), 4294967295) AS crc FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n,
+    dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM d),
+nodes AS (SELECT tree, 0 AS level, pos, leaf AS h, n FROM r UNION ALL
+  SELECT tree, level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 2) // 3 FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 3),
+tops AS (SELECT tree, h FROM nodes WHERE n = 1),
+upper AS (SELECT 0 AS level, tree AS pos, h, (SELECT count(*) FROM tops) AS n FROM tops UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 2) // 3 FROM upper WHERE n > 1 GROUP BY level, pos // 3),
+every AS (SELECT tree, level, pos, h, n FROM nodes UNION ALL SELECT -1, level, pos, h, n FROM upper),
+steps AS (SELECT r.tree, r.pos, 0 AS part, k AS level, r.tree AS inside, r.pos // (3 ** k)::BIGINT AS own FROM r, range(0, 40) t(k) WHERE 3 ** k < 3 * r.n
+  UNION ALL SELECT r.tree, r.pos, 1, k, -1, r.tree // (3 ** k)::BIGINT FROM r, range(0, 40) t(k) WHERE 3 ** k < 3 * (SELECT count(*) FROM tops)),
+sides AS (SELECT s.tree, s.pos, s.part, s.level, coalesce(string_agg(e.h, '' ORDER BY e.pos) FILTER (e.pos < s.own), '') AS l,
+    coalesce(string_agg(e.h, '' ORDER BY e.pos) FILTER (e.pos > s.own), '') AS r
+  FROM steps s JOIN every e ON e.tree = s.inside AND e.level = s.level AND e.pos // 3 = s.own // 3 WHERE e.n > 1 GROUP BY ALL),
+proofs AS (SELECT tree, pos, string_agg(l || r, '' ORDER BY part, level) AS joined, list(l || ':' || r ORDER BY part, level) AS steps FROM sides GROUP BY tree, pos),
+whole AS (SELECT r.doc_id, r.leaf, t.h AS subroot, u.h AS root, sha256(coalesce(joined, '')) AS proof_sha256,
+    list_reduce(list_concat([CASE WHEN crc % 2 = 0 THEN changed ELSE leaf END], coalesce(p.steps, [])),
+      lambda x, s: sha256(split_part(s, ':', 1) || x || split_part(s, ':', 2))) AS folded_root
+  FROM r JOIN tops t USING (tree) JOIN upper u ON u.n = 1 LEFT JOIN proofs p ON p.tree = r.tree AND p.pos = r.pos)
+SELECT *, folded_root = root AS verified FROM whole
+"""
