@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillhouse.llm import (bpe, exact_search, language_model, merkle, near_duplicates, packing, pii, quality, token_counts, toxicity,
-                           url_filter)
+from rillhouse.llm import (bpe, exact_search, language_model, merkle, near_duplicates, packing, pii, quality, quality_classifier,
+                           token_counts, toxicity, url_filter)
 from rillhouse.llm.common import crc_mod5, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +161,17 @@ whole AS (SELECT r.doc_id, r.leaf, t.h AS subroot, u.h AS root, sha256(coalesce(
   FROM r JOIN tops t USING (tree) JOIN upper u ON u.n = 1 LEFT JOIN proofs p ON p.tree = r.tree AND p.pos = r.pos)
 SELECT *, folded_root = root AS verified FROM whole
 """
+
+
+def _held_for_quality(doc_id):
+    """crc32 of the id as text leaves 2, modulo 4; null ids count as the empty text."""
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
+
+
+@query
+def op12_quality_classifier(spark, d):
+    docs = table(spark, d, "documents")
+    model = quality_classifier.fit(quality_classifier.sample(docs, table(spark, d, "labels"), keep=~_held_for_quality(F.col("k"))))
+    return quality_classifier.score_quality(docs, model).select(
+        "doc_id", _held_for_quality(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality_classifier.LIMIT).cast("int").alias("predicted"))
