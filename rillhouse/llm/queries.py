@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillhouse.llm import (bpe, exact_search, language_model, merkle, near_duplicates, packing, pii, quality, quality_classifier,
+from rillhouse.llm import (bpe, exact_search, hard_negatives, language_model, merkle, near_duplicates, packing, pii, quality, quality_classifier,
                            token_counts, toxicity, url_filter)
 from rillhouse.llm.common import crc_mod5, table
 
@@ -175,3 +175,23 @@ def op12_quality_classifier(spark, d):
     return quality_classifier.score_quality(docs, model).select(
         "doc_id", _held_for_quality(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= quality_classifier.LIMIT).cast("int").alias("predicted"))
+
+
+@query
+def op13_hard_negatives(spark, d):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, x.vec_id, x.label = a.label AS alike, list_dot_product(a.v, x.v)::BIGINT AS score
+  FROM v a JOIN v x ON a.vec_id <> x.vec_id AND len(a.v) = len(x.v) WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score QUALIFY rank <= 3
+"""
