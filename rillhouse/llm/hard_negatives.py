@@ -113,8 +113,8 @@ class Block:
     def __init__(self, v: np.ndarray):
         self.v, self.known = v, {}
         # A bound of the largest norm, in exact numbers where floats could round or overflow.
-        top = float(np.abs(v).max())
-        squares = v.shape[1] * int(top) ** 2 if top > 1 << 20 else int((v ** 2).sum(1).max())
+        top = int(np.abs(v).max())
+        squares = v.shape[1] * top ** 2 if top > 1 << 20 else int((v ** 2).sum(1).max())
         self.norm = math.isqrt(squares) + 1
 
     def of(self, p: int) -> np.ndarray:
