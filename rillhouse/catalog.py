@@ -155,6 +155,29 @@ def _landed(spark: SparkSession, df: DataFrame) -> tuple[DataFrame, str]:
     return spark.readStream.schema(df.schema).parquet(f"{folder}/in"), folder
 
 
+def _ods(spark: SparkSession, lines: DataFrame) -> str:
+    """A folder into which the landing job has taken all lines."""
+    stream, folder = _landed(spark, lines)
+    jobs.ods_ingest(stream, f"{folder}/ods", f"{folder}/ods-checkpoint", once=True).awaitTermination()
+    return f"{folder}/ods"
+
+
+@query
+def dwd_order_detail_landed(spark, d):
+    """Order details from the landed feed, of which only the four tables' folders are read; lines that are no JSON stay out."""
+    lines = X.raw_lines(spark, d, X.change_feed(spark, d, *DETAIL_TABLES, "payment_info", "cart_info"))
+    return PF.dwd_order_detail(feeds.ods_tables(spark, _ods(spark, lines)))
+
+
+@query
+def read_ods_days(spark, d):
+    """Cart changes of two days from the landed feed."""
+    lines = X.json_lines(X.change_feed(spark, d, "cart_info", "order_info"))
+    days = X.table(spark, d, "events").agg(F.date_format(F.min("ts"), S.DATE_FORMAT), F.date_format(F.date_add(F.min("ts"), 1), S.DATE_FORMAT)).first()
+    rows = feeds.read_ods(spark, _ods(spark, lines), ("cart_info",), tuple(days))
+    return rows.select(F.col("source")["table"].alias("source_table"), "op", F.col("after")["id"].alias("id"), "ts_ms")
+
+
 @query
 def stream_dws_traffic(spark, d):
     """The traffic windows as a streaming query; a row a year later closes all windows."""
@@ -332,6 +355,21 @@ def upsert_latest(spark, d):
     return upsert.upsert_latest(events, ["user_id"], F.struct("ts", "event_id"))
 
 
+@query
+def change_order(spark, d):
+    """Three changes of each order at one time: two log files, and two rows of one event in the later file."""
+    o = X.table(spark, d, "orders")
+
+    def change(file: str, pos: int, row: int, name: str) -> DataFrame:
+        after = X.texts(id="o_orderkey", user_id="o_custkey", province_id=F.lit(name))
+        feed = X.changes(o, "order_info", X.change("u", X.order_clock("o_orderkey"), pos, before=after, after=after))
+        return feed.withColumn("source", F.map_concat("source", X.texts(file=F.lit(file), row=F.lit(row))))
+
+    feed = change("bin.000010", 4, 0, "first row").unionByName(change("bin.000010", 4, 1, "last")).unionByName(
+        change("bin.000009", 9000, 7, "old file")).unionByName(change("bin.000010", 3, 9, "before"))
+    return upsert.upsert_latest(facts.order_info_src(feed), ["id"], F.col("seq"), drop=("seq",))
+
+
 @query
 def latest_config(spark, d):
     """Each customer's orders as changes of one configuration row; finished orders delete it."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,8 @@ from rillhouse.functions.records import pick_columns
 from rillhouse.functions.times import event_time
 
 _CORRUPT = "_corrupt_record"
+# Change records: those of all tables, or a function that reads those of one.
+Changes = DataFrame | Callable[[str], DataFrame]
 
 
 def _numbers_as_text(kind: T.DataType) -> T.DataType:
@@ -73,11 +77,12 @@ def with_event_time(df: DataFrame, ms: str, delay: str | None) -> DataFrame:
     return timed if delay is None else timed.withWatermark("et", delay)
 
 
-def cdc_table(changes: DataFrame, table: str, db: str = S.SOURCE_DB,
+def cdc_table(changes: Changes, table: str, db: str = S.SOURCE_DB,
               ops: tuple[str, ...] = S.UPSERT_OPS) -> DataFrame:
-    """The changes of one source table."""
+    """The changes of one source table, of a feed of all or of one that is read table by table."""
     source = F.col("source")
-    return changes.where((source["db"] == db) & (source["table"] == table) & F.col("op").isin(*ops))
+    rows = changes(table) if callable(changes) else changes
+    return rows.where((source["db"] == db) & (source["table"] == table) & F.col("op").isin(*ops))
 
 
 def status_transition(changes: DataFrame, field: str, reached: str, must_differ: bool = False) -> DataFrame:
@@ -103,5 +108,11 @@ def prune_columns(df: DataFrame, data: str = "data", columns: str = "sink_column
 
 
 def change_order() -> Column:
-    """Order of change records: event milliseconds, then position in the source's log."""
-    return F.struct(F.col("ts_ms").alias("ts_ms"), F.col("source")["pos"].try_cast("bigint").alias("pos"))
+    """Order of change records: event milliseconds, number of the source's log file, position in it, and
+    row of the event there, as one event may change many rows. What a source does not tell is null, which comes first."""
+    def number(name: str) -> Column:
+        return F.col("source")[name].try_cast("bigint").alias(name)
+
+    # Log files are numbered at their end; as texts the tenth would come before the ninth.
+    file = F.regexp_extract(F.col("source")["file"], r"(\d+)$", 1).try_cast("bigint")
+    return F.struct(F.col("ts_ms").alias("ts_ms"), file.alias("file"), number("pos"), number("row"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse import settings as S
-from rillhouse.operators.clean import cdc_table, change_order, status_transition
+from rillhouse.operators.clean import Changes, cdc_table, change_order, status_transition
 
 # Columns read from each source table.
 COMMENT_COLUMNS = ("id", "user_id", "nick_name", "sku_id", "spu_id", "order_id", "appraise",
@@ -31,12 +31,12 @@ def money(text: Column) -> Column:
     return text.try_cast("decimal(16,2)")
 
 
-def comment_src(changes: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def comment_src(changes: Changes, db: str = S.SOURCE_DB) -> DataFrame:
     return cdc_table(changes, "comment_info", db).select(
         *after_columns(COMMENT_COLUMNS), F.col("ts_ms").alias("ts"))
 
 
-def order_detail_src(changes: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def order_detail_src(changes: Changes, db: str = S.SOURCE_DB) -> DataFrame:
     """Order details with their original amount, quantity times price."""
     return cdc_table(changes, "order_detail", db).select(
         *after_columns(("id", "order_id", "sku_id", "sku_name", "order_price", "sku_num", "create_time")),
@@ -49,44 +49,44 @@ def _with_order(changes: DataFrame, names: tuple[str, ...]) -> DataFrame:
     return changes.select(*after_columns(names), F.col("ts_ms").alias("ts"), change_order().alias("seq"))
 
 
-def order_info_src(changes: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def order_info_src(changes: Changes, db: str = S.SOURCE_DB) -> DataFrame:
     return _with_order(cdc_table(changes, "order_info", db), ORDER_COLUMNS)
 
 
-def order_cancel_src(changes: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def order_cancel_src(changes: Changes, db: str = S.SOURCE_DB) -> DataFrame:
     """Orders at the moment they become cancelled."""
     updates = cdc_table(changes, "order_info", db, (S.OP_UPDATE,))
     return _with_order(status_transition(updates, "order_status", S.ORDER_CANCELLED, must_differ=True),
                        ORDER_COLUMNS)
 
 
-def order_refund_src(changes: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def order_refund_src(changes: Changes, db: str = S.SOURCE_DB) -> DataFrame:
     """Orders at the moment they go into refund."""
     updates = cdc_table(changes, "order_info", db, (S.OP_UPDATE,))
     return _with_order(status_transition(updates, "order_status", S.ORDER_REFUNDED), ORDER_COLUMNS)
 
 
-def order_activity_src(changes: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def order_activity_src(changes: Changes, db: str = S.SOURCE_DB) -> DataFrame:
     return _with_order(cdc_table(changes, "order_detail_activity", db), ACTIVITY_COLUMNS)
 
 
-def order_coupon_src(changes: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def order_coupon_src(changes: Changes, db: str = S.SOURCE_DB) -> DataFrame:
     return _with_order(cdc_table(changes, "order_detail_coupon", db), COUPON_COLUMNS)
 
 
-def payment_src(changes: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def payment_src(changes: Changes, db: str = S.SOURCE_DB) -> DataFrame:
     """Payments at the moment they succeed."""
     updates = cdc_table(changes, "payment_info", db, (S.OP_UPDATE,))
     return status_transition(updates, "payment_status", S.PAYMENT_DONE).select(
         *after_columns(PAYMENT_COLUMNS), F.col("ts_ms").alias("ts"))
 
 
-def refund_src(changes: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def refund_src(changes: Changes, db: str = S.SOURCE_DB) -> DataFrame:
     return cdc_table(changes, "order_refund_info", db).select(
         *after_columns(REFUND_COLUMNS), F.col("ts_ms").alias("ts"), change_order().alias("seq"))
 
 
-def cart_add_src(changes: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def cart_add_src(changes: Changes, db: str = S.SOURCE_DB) -> DataFrame:
     """New cart rows and updates that raise the quantity, with the quantity added."""
     now = after("sku_num").try_cast("bigint")
     was = F.col("before")["sku_num"].try_cast("bigint")

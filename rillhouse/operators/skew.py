@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A key is hot when it holds at least this share of all rows, so at most this many keys are hot,
-# and what gets broadcast for them has at most as many rows.
+# A key is hot when it holds at least this share of all rows, so at most this many keys are hot, and
+# at least this many rows, as fewer are no burden to one task.
 MAX_HOT_KEYS = 2048
 HOT_SHARE = 1 / MAX_HOT_KEYS
+MIN_HOT_ROWS = 10_000
+# A hot key's rows are dealt to this many tasks.
+HOT_SALTS = 32
 # Keys each sketch tracks; its error stays well below the hot share.
 TRACKED_KEYS = 16_384
-# A table of at most this many rows, counted before the join, is broadcast.
+# A table of at most this many rows and bytes, counted before the join, is broadcast.
 MAX_BROADCAST_ROWS = 50_000
+MAX_BROADCAST_BYTES = 32 << 20
 # Sketches of many tasks are merged in this many groups before the last merge.
 MERGE_GROUPS = 512
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding at least ``share`` of the rows: one sketch per task, merged in two steps, no
-    shuffle of rows."""
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """Keys holding at least ``share`` of the rows and ``rows`` of them: one sketch per task, merged in
+    two steps, no shuffle of rows."""
     grouped = df.where(F.col(key).isNotNull()).withColumn("g", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
     sketches = grouped.groupBy("g").agg(
         F.expr(f"approx_top_k_accumulate({key}, {TRACKED_KEYS})").alias("sketch"),
@@ -28,33 +33,60 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     merged = sketches.groupBy(F.lit(1).alias("all")).agg(
         F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"), F.sum("n").alias("total"))
     top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})")).alias("t"), "total")
-    return top.where(F.col("t.count") >= F.col("total") * share).select(F.col("t.item").alias(key))
+    return top.where(F.col("t.count") >= F.greatest(F.col("total") * share, F.lit(rows))).select(F.col("t.item").alias(key))
 
 
-def join_hot_split(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
-                   share: float = HOT_SHARE, keys_from: DataFrame | None = None) -> DataFrame:
+def _hash_of(df: DataFrame) -> Column:
+    """A hash of each row's columns. Maps count by their entries; what holds maps within is left out."""
+    def holds_map(kind: T.DataType) -> bool:
+        return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and holds_map(kind.elementType) or \
+            isinstance(kind, T.StructType) and any(holds_map(f.dataType) for f in kind.fields)
+
+    columns = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.MapType) and not holds_map(f.dataType.valueType):
+            columns.append(F.map_entries(f.name))
+        elif not holds_map(f.dataType):
+            columns.append(F.col(f.name))
+    return F.xxhash64(*columns)
+
+
+def join_hot_split(left: DataFrame, right: DataFrame, key: str, how: str = "inner", share: float = HOT_SHARE,
+                   keys_from: DataFrame | None = None, rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Equi-join in which the left side may be skewed and the right side is unique by ``key``.
 
-    Left rows of hot keys meet a broadcast of the at most ``MAX_HOT_KEYS`` right rows they need and
-    are never shuffled; all others take an ordinary join, which the optimizer plans. Which keys
-    count as hot changes the plan only, never the result; ``keys_from`` names a cheaper input to
-    find them in.
+    Hot keys are looked for first, in one pass over the key alone; ``keys_from`` names a cheaper
+    input for that than the left side. Without any the join is a plain one, left to adaptive execution.
+    Otherwise the left rows of hot keys are dealt to ``HOT_SALTS`` tasks by a hash of the row, and the right
+    rows of these at most ``MAX_HOT_KEYS`` keys are repeated for each. Both sides are planned once either way.
+    Which keys count as hot changes the plan only, never the result.
     """
-    hot = F.broadcast(hot_keys((left if keys_from is None else keys_from).select(key), key, share))
-    hot_right = F.broadcast(right.join(hot, key, "left_semi"))
-    heavy = left.join(hot, key, "left_semi").join(hot_right, key, how)
-    light = left.join(hot, key, "left_anti").join(right, key, how)
-    return heavy.unionByName(light)
+    source = (left if keys_from is None else keys_from).select(key)
+    hot = [r[0] for r in hot_keys(source, key, share, rows).collect()]
+    if not hot:
+        return left.join(right, key, how)
+    is_hot = F.col(key).isin(hot)
+    one = F.when(is_hot, F.pmod(_hash_of(left), F.lit(HOT_SALTS))).otherwise(0)
+    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salted_left = left.withColumn("join_salt", one.cast("int"))
+    return salted_left.join(right.withColumn("join_salt", F.explode(every)), [key, "join_salt"], how).drop("join_salt")
+
+
+def is_small(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether the table's rows, counted, and their texts' bytes, summed, stay within the bounds."""
+    size = F.octet_length(F.to_json(F.struct(*table.columns)))
+    found = table.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(size).alias("bytes")).first()
+    return found["n"] <= max_rows and (found["bytes"] or 0) <= max_bytes
 
 
 def join_small(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
                max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Equi-join with a table that is unique by ``keys`` and expected to be small.
 
-    Its rows are counted first. Up to ``max_rows`` it is broadcast, so that the left side, whose few
+    Its rows and bytes are counted first. Within bounds it is broadcast, so that the left side, whose few
     keys each hold much of the data, is not shuffled by them. Beyond, hot keys are split off.
     """
-    if right.limit(max_rows + 1).count() <= max_rows:
+    if is_small(right, max_rows):
         return left.join(F.broadcast(right), keys, how)
     if left.isStreaming:
         return left.join(right, keys, how)

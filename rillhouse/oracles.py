@@ -400,3 +400,10 @@ FROM events""",
 
 ORACLES["stream_dws_traffic"] = ORACLES["dws_traffic"]
 ORACLES["stream_dim_sync"] = ORACLES["dim_sync"]
+ORACLES["dwd_order_detail_landed"] = ORACLES["dwd_order_detail"]
+ORACLES["read_ods_days"] = f"""
+WITH {CART}, first_day AS (SELECT CAST(min(ts) AS DATE) AS d FROM events)
+SELECT 'cart_info' AS source_table, op, CASE WHEN op <> 'd' THEN id END AS id, ts AS ts_ms FROM cart, first_day
+WHERE CAST(make_timestamp(ts * 1000) AS DATE) BETWEEN d AND d + 1"""
+ORACLES["change_order"] = f"""
+WITH {ORDERS} SELECT CAST(id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id, 'last' AS province_id, t AS ts FROM order_rows"""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rillhouse import schemas, settings as S
 from rillhouse.functions.times import event_time
 from rillhouse.operators import facts as P
+from rillhouse.operators.clean import Changes
 from rillhouse.operators.joins import interval_join, lookup
 from rillhouse.operators.skew import join_hot_split
 from rillhouse.operators.upsert import upsert_latest
@@ -23,12 +24,12 @@ PAYMENT_COLUMNS = ("order_detail_id", "order_id", "user_id", "sku_id", "sku_name
                    "split_activity_amount", "split_coupon_amount", "split_payment_amount", "ts")
 
 
-def dwd_comment(changes: DataFrame, dic: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def dwd_comment(changes: Changes, dic: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
     """Comments whose rating the dictionary knows."""
     return lookup(P.comment_src(changes, db), dic, "appraise", "appraise_name", "inner").select(*COMMENT_COLUMNS)
 
 
-def dwd_cart_add(changes: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def dwd_cart_add(changes: Changes, db: str = S.SOURCE_DB) -> DataFrame:
     return P.cart_add_src(changes, db)
 
 
@@ -36,12 +37,12 @@ def _latest(df: DataFrame, key: str) -> DataFrame:
     return upsert_latest(df, [key], F.col("seq"), drop=("seq",))
 
 
-def _details_with(changes: DataFrame, orders: DataFrame, db: str) -> DataFrame:
+def _details_with(changes: Changes, orders: DataFrame, db: str) -> DataFrame:
     """Latest details of the given orders, with activity and coupon where there are any.
 
     Every side is reduced to its latest row per key before it is joined, as the result keeps one
     row per detail anyway. Only ``order_id`` can then repeat, on the detail side; its hot values are
-    found in the reduced details, whose shuffle is reused.
+    found in the source's column.
     """
     details = _latest(P.order_detail_src(changes, db), "id")
     orders = _latest(orders, "id").select(F.col("id").alias("order_id"), "user_id", "province_id")
@@ -51,18 +52,19 @@ def _details_with(changes: DataFrame, orders: DataFrame, db: str) -> DataFrame:
     complete = (details
                 .join(activities.withColumnRenamed("order_detail_id", "id"), "id", "left")
                 .join(coupons.withColumnRenamed("order_detail_id", "id"), "id", "left"))
-    return join_hot_split(complete, orders, "order_id", keys_from=details).select(*ORDER_DETAIL_COLUMNS)
+    keys = P.order_detail_src(changes, db).select("order_id")
+    return join_hot_split(complete, orders, "order_id", keys_from=keys).select(*ORDER_DETAIL_COLUMNS)
 
 
-def dwd_order_detail(changes: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def dwd_order_detail(changes: Changes, db: str = S.SOURCE_DB) -> DataFrame:
     return _details_with(changes, P.order_info_src(changes, db), db)
 
 
-def dwd_order_cancel(changes: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def dwd_order_cancel(changes: Changes, db: str = S.SOURCE_DB) -> DataFrame:
     return _details_with(changes, P.order_cancel_src(changes, db), db)
 
 
-def dwd_pay_suc(changes: DataFrame, order_detail: DataFrame, dic: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def dwd_pay_suc(changes: Changes, order_detail: DataFrame, dic: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
     """Details of an order placed at most 15 minutes before its payment (or 5 seconds after)."""
     payments = P.payment_src(changes, db).select(
         "order_id", F.col("payment_type").alias("payment_type_code"), "callback_time",
@@ -80,11 +82,12 @@ def payment_columns(joined: DataFrame) -> DataFrame:
     }).select(*PAYMENT_COLUMNS)
 
 
-def dwd_refund(changes: DataFrame, dic: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def dwd_refund(changes: Changes, dic: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
     """Refund requests of refunded orders, with the names of their kind and reason."""
     orders = _latest(P.order_refund_src(changes, db), "id").select(F.col("id").alias("order_id"), "province_id")
     refunds = _latest(P.refund_src(changes, db), "id")
-    return refund_columns(join_hot_split(refunds, orders, "order_id"), dic)
+    keys = P.refund_src(changes, db).select("order_id")
+    return refund_columns(join_hot_split(refunds, orders, "order_id", keys_from=keys), dic)
 
 
 def refund_columns(joined: DataFrame, dic: DataFrame, *more: str) -> DataFrame:

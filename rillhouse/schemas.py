@@ -21,6 +21,9 @@ CHANGE = T.StructType([
     T.StructField("ts_ms", T.LongType()),
 ])
 
+# A change's place in the order of all changes.
+CHANGE_ORDER = T.StructType([T.StructField(name, T.LongType()) for name in ("ts_ms", "file", "pos", "row")])
+
 # One application log record. Maps keep fields that nobody declared.
 APP_LOG = T.StructType([
     T.StructField("common", TEXT_MAP),

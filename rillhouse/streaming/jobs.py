@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,15 +31,19 @@ Config = Callable[[SparkSession], DataFrame]
 
 CELLS = T.StructType([
     T.StructField("sink_table", T.StringType()), T.StructField("row_key", T.StringType()),
-    T.StructField("cell", T.StringType()),
-    T.StructField("seq", T.StructType([T.StructField("ts_ms", T.LongType()), T.StructField("pos", T.LongType())])),
+    T.StructField("cell", T.StringType()), T.StructField("seq", schemas.CHANGE_ORDER),
     T.StructField("text", T.StringType()),
 ])
 
 
-def ods_ingest(lines: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Land the change feed by source table and day; later jobs read only the tables they need."""
-    return append_sink(PR.ods_ingest(lines), path, checkpoint, partition_by=("source_table", "day"), once=once)
+def ods_ingest(lines: DataFrame, path: str, checkpoint: str, once: bool = False, files: int = 4) -> StreamingQuery:
+    """Land the change feed by source table and day; later jobs read only the tables they need, see ``read_ods``.
+
+    A batch writes at most ``files`` files for each table and day, and spreads a table that holds much of the feed over them.
+    """
+    records = PR.ods_ingest(lines)
+    dealt = records.repartition("source_table", "day", F.pmod(F.xxhash64("value"), F.lit(files)))
+    return append_sink(dealt, path, checkpoint, partition_by=("source_table", "day"), once=once)
 
 
 def dim_sync(changes: DataFrame, config: Config, path: str, checkpoint: str, once: bool = False,

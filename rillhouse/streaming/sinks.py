@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from rillhouse import schemas
 from rillhouse.operators.upsert import upsert_latest
 from rillhouse.streaming.tables import append_batch, read_batches
 
 EVERY = "60 seconds"
 # Places in the change order, one for each side a row was joined from.
-VERSIONS = T.ArrayType(T.StructType([T.StructField("ts_ms", T.LongType()), T.StructField("pos", T.LongType())]))
+VERSIONS = T.ArrayType(schemas.CHANGE_ORDER)
 Handle = Callable[[DataFrame, int], None]
 
 

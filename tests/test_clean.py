@@ -104,3 +104,11 @@ def test_config_columns_can_be_renamed(spark, tmp_path):
     spark.createDataFrame([("a", "b")], "source_table string, sink_row_key string").write.parquet(path)
     assert read_config(spark, path, camel=True).columns == ["sourceTable", "sinkRowKey"]
     assert snake_columns(camel_columns(read_config(spark, path))).columns == ["source_table", "sink_row_key"]
+
+
+def test_change_order_goes_by_time_file_position_and_row(spark):
+    places = [(2, "a.000001", "1", "0"), (1, "a.000010", "4", "1"), (1, "a.000010", "4", "0"), (1, "a.000010", "3", "9"),
+              (1, "a.000009", "900", "9"), (1, "a.000009", "x", None), (1, None, "5", "1"), (1, None, None, None)]
+    rows = [({"file": f, "pos": p, "row": r}, ts, n) for n, (ts, f, p, r) in enumerate(places)]
+    df = spark.createDataFrame(rows[::-1], "source map<string,string>, ts_ms long, n int")
+    assert [r.n for r in df.select("n", clean.change_order().alias("seq")).orderBy(F.desc("seq")).collect()] == list(range(8))

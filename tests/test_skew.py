@@ -1,7 +1,8 @@
+import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from rillhouse.operators.skew import hot_keys, join_hot_split, join_small
+from rillhouse.operators.skew import hot_keys, is_small, join_hot_split, join_small
 from rillhouse.operators.upsert import upsert_latest
 
 
@@ -14,7 +15,8 @@ def skewed(spark, n=60_000):
 
 def test_only_keys_with_many_rows_are_hot(spark):
     df = skewed(spark)
-    assert rows_of(hot_keys(df, "k")) == [("hot",)]
+    assert rows_of(hot_keys(df, "k", rows=1)) == [("hot",)] == rows_of(hot_keys(df, "k"))
+    assert hot_keys(df, "k", rows=20_001).count() == 0
     assert hot_keys(df, "k", share=0.5).count() == 0
     assert hot_keys(df.where("false"), "k").count() == 0
 
@@ -24,14 +26,54 @@ def test_split_join_equals_plain_join(spark):
     right = left.where("k is not null").groupBy("k").agg(F.max("id").alias("m")).where("k <> 'k17'")
     for how in ("inner", "left"):
         got, want = join_hot_split(left, right, "k", how), left.join(right, "k", how)
+        assert got.columns == want.columns and "join_salt" in got._jdf.queryExecution().optimizedPlan().toString()
         assert got.exceptAll(want.select(got.columns)).count() == 0 and got.count() == want.count()
 
 
-def test_hot_rows_are_not_shuffled(spark):
-    left = skewed(spark)
+def test_maps_count_for_the_split(spark):
+    """Rows that differ in a map alone are still dealt apart; columns that hold maps deeper are left out."""
+    left = skewed(spark).select("k", F.create_map(F.lit("i"), F.col("id").cast("string")).alias("m"),
+                                F.array(F.create_map(F.lit("x"), F.lit("y"))).alias("deep"))
+    right = spark.createDataFrame([("hot", 1)], "k string, v int")
+    assert join_hot_split(left, right, "k").count() == 20_000
+
+
+@pytest.fixture
+def eight(spark):
+    """Eight shuffle partitions that stay as they are."""
+    names = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    yield
+    for n, v in before.items():
+        spark.conf.set(n, v)
+
+
+def test_rows_of_a_hot_key_are_spread_and_sides_planned_once(spark, eight, tmp_path):
+    """A third of the rows on one key: no task of the join gets more than a fifth, and each side is read once."""
+    skewed(spark).write.parquet(str(tmp_path / "left"))
+    left = spark.read.parquet(str(tmp_path / "left"))
+    spark.range(7000).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("v")).unionAll(
+        spark.createDataFrame([("hot", 0)], "k string, v long")).write.parquet(str(tmp_path / "right"))
+    right = spark.read.parquet(str(tmp_path / "right"))
+
+    def largest(joined):
+        return max(r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+    plain, split = left.join(right, "k"), join_hot_split(left, right, "k")
+    assert split.count() == plain.count()
+    assert largest(plain) > 20_000 and largest(split) < 12_000
+    split.collect()
+    final = split._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 2
+
+
+def test_without_hot_keys_the_join_is_plain(spark):
+    left = skewed(spark).where("k <> 'hot'")
     right = left.groupBy("k").agg(F.max("id").alias("m"))
     plan = join_hot_split(left, right, "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in plan and "LeftSemi" in plan and "LeftAnti" in plan
+    assert "join_salt" not in plan and plan.count("Join") == 1
 
 
 def test_upsert_takes_the_last_row(spark):
@@ -49,4 +91,11 @@ def test_small_tables_are_broadcast_only_when_small(spark):
             got = join_small(left, table, keys, "left", max_rows=limit)
             assert got.select(want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
     plan = join_small(left, one, ["k"], max_rows=10)._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftAnti" in plan
+    assert "strategy=broadcast" not in plan
+    assert "strategy=broadcast" in join_small(left, one, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_few_rows_of_many_bytes_are_not_broadcast(spark):
+    wide = spark.range(3).select(F.col("id").cast("string").alias("k"), F.repeat(F.lit("x"), 1000).alias("v"))
+    assert is_small(wide) and not is_small(wide, max_bytes=2999) and not is_small(wide, max_rows=2)
+    assert is_small(wide.limit(0), 0, 0)
