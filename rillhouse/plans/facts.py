@@ -12,12 +12,11 @@ from rillhouse.operators.clean import Changes
 from rillhouse.operators.joins import interval_join, lookup
 from rillhouse.operators.skew import join_hot_split
 from rillhouse.operators.upsert import upsert_latest
+from rillhouse.plans import bands
 
 ORDER_DETAIL_COLUMNS = (*schemas.ORDER_DETAIL_FIELDS, "ts")
 COMMENT_COLUMNS = ("id", "user_id", "sku_id", "appraise", "appraise_name", "comment_txt", "ts")
-REFUND_COLUMNS = ("id", "user_id", "province_id", "order_id", "sku_id", "refund_type_code",
-                  "refund_type_name", "refund_num", "refund_amount", "refund_reason_type_code",
-                  "refund_reason_type_name", "refund_reason_txt", "refund_status", "ts")
+REFUND_COLUMNS = (*schemas.REFUND_FIELDS, "ts")
 PAYMENT_COLUMNS = ("order_detail_id", "order_id", "user_id", "sku_id", "sku_name", "province_id",
                    "activity_id", "activity_rule_id", "coupon_id", "payment_type_code",
                    "payment_type_name", "callback_time", "sku_num", "split_original_amount",
@@ -56,15 +55,23 @@ def _details_with(changes: Changes, orders: DataFrame, db: str) -> DataFrame:
     return join_hot_split(complete, orders, "order_id", keys_from=keys).select(*ORDER_DETAIL_COLUMNS)
 
 
-def dwd_order_detail(changes: Changes, db: str = S.SOURCE_DB) -> DataFrame:
+def dwd_order_detail(changes: Changes, db: str = S.SOURCE_DB, band_ms: int | None = None) -> DataFrame:
+    """Order details. With ``band_ms`` only changes at most so far apart belong together, as in the streaming job."""
+    if band_ms is not None:
+        return bands.latest(bands.order_details(changes, db, band_ms)).select(*ORDER_DETAIL_COLUMNS)
     return _details_with(changes, P.order_info_src(changes, db), db)
 
 
-def dwd_order_cancel(changes: Changes, db: str = S.SOURCE_DB) -> DataFrame:
+def dwd_order_cancel(changes: Changes, db: str = S.SOURCE_DB, wait_ms: int | None = None,
+                     band_ms: int = S.ORDER_BAND_MS) -> DataFrame:
+    """Details of cancelled orders. With ``wait_ms`` only of those cancelled so soon, as in the streaming job."""
+    if wait_ms is not None:
+        return bands.latest(bands.cancelled_details(changes, db, wait_ms, band_ms)).select(*ORDER_DETAIL_COLUMNS)
     return _details_with(changes, P.order_cancel_src(changes, db), db)
 
 
-def dwd_pay_suc(changes: Changes, order_detail: DataFrame, dic: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
+def dwd_pay_suc(changes: Changes, order_detail: DataFrame, dic: DataFrame, db: str = S.SOURCE_DB,
+                before_ms: int = S.PAY_BEFORE_MS, after_ms: int = S.PAY_AFTER_MS) -> DataFrame:
     """Details of an order placed at most 15 minutes before its payment (or 5 seconds after)."""
     payments = P.payment_src(changes, db).select(
         "order_id", F.col("payment_type").alias("payment_type_code"), "callback_time",
@@ -72,18 +79,22 @@ def dwd_pay_suc(changes: Changes, order_detail: DataFrame, dic: DataFrame, db: s
     details = order_detail.select(
         *[c for c in order_detail.columns if c not in ("et", "row_et")],
         event_time(F.col("ts")).alias("row_et"))
-    return payment_columns(lookup(interval_join(payments, details, "order_id"), dic,
-                                  "payment_type_code", "payment_type_name"))
+    paid = interval_join(payments, details, "order_id", before_ms=before_ms, after_ms=after_ms)
+    return payment_columns(paid, dic)
 
 
-def payment_columns(joined: DataFrame) -> DataFrame:
-    return joined.drop("ts").withColumnsRenamed({
+def payment_columns(paid: DataFrame, dic: DataFrame) -> DataFrame:
+    """Paid details with the name of their payment's kind."""
+    return lookup(paid, dic, "payment_type_code", "payment_type_name").drop("ts").withColumnsRenamed({
         "id": "order_detail_id", "split_total_amount": "split_payment_amount", "pay_ts": "ts",
     }).select(*PAYMENT_COLUMNS)
 
 
-def dwd_refund(changes: Changes, dic: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
-    """Refund requests of refunded orders, with the names of their kind and reason."""
+def dwd_refund(changes: Changes, dic: DataFrame, db: str = S.SOURCE_DB, band_ms: int | None = None) -> DataFrame:
+    """Refund requests of refunded orders, with the names of their kind and reason. With ``band_ms`` only of orders that
+    went into refund at most so far apart, as in the streaming job."""
+    if band_ms is not None:
+        return refund_columns(bands.latest(bands.refunds(changes, db, band_ms)), dic)
     orders = _latest(P.order_refund_src(changes, db), "id").select(F.col("id").alias("order_id"), "province_id")
     refunds = _latest(P.refund_src(changes, db), "id")
     keys = P.refund_src(changes, db).select("order_id")

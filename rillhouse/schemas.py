@@ -71,3 +71,12 @@ ORDER_DETAIL = T.StructType([
     *text_struct(*ORDER_DETAIL_FIELDS).fields,
     T.StructField("ts", T.LongType()),
 ])
+
+REFUND_FIELDS = (
+    "id", "user_id", "province_id", "order_id", "sku_id", "refund_type_code", "refund_type_name", "refund_num",
+    "refund_amount", "refund_reason_type_code", "refund_reason_type_name", "refund_reason_txt", "refund_status",
+)
+REFUND = T.StructType([
+    *text_struct(*REFUND_FIELDS).fields,
+    T.StructField("ts", T.LongType()),
+])

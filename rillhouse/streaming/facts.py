@@ -1,100 +1,41 @@
-"""Business facts and traffic windows over streams.
-
-Joins of two streams hold rows only for an event-time band, which bounds their state.
-"""
+"""Payments and traffic windows over streams."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse import settings as S
-from rillhouse.functions.times import event_time
 from rillhouse.operators import facts as P
 from rillhouse.operators import windows as W
-from rillhouse.operators.joins import interval_join, lookup
-from rillhouse.operators.skew import salted
-from rillhouse.plans.facts import ORDER_DETAIL_COLUMNS, payment_columns, refund_columns
+from rillhouse.operators.bands import timed
+from rillhouse.operators.clean import Changes
+from rillhouse.operators.joins import interval_join
+from rillhouse.plans.bands import SALTS
 from rillhouse.streaming.visitors import SESSION, daily_row, first_events_stream, session_row
 
-# Order rows are repeated this often, so that the details of one order reach as many tasks.
-SALTS = 8
-
-
-def _timed(df: DataFrame, name: str, delay: str = S.CHANGE_DELAY, ms: str = "ts") -> DataFrame:
-    return df.withColumn(name, event_time(F.col(ms))).withWatermark(name, delay)
-
-
-def band_join(left: DataFrame, right: DataFrame, on: str, before_ms: int, after_ms: int, how: str,
-              left_time: str = "et", salts: int = 1) -> DataFrame:
-    """Equi-join with right times in [left - before, left + after]; the right time is dropped, so
-    that the next join sees one event-time column. ``salts`` splits left rows of one key."""
-    left, right = salted(left, right, salts)
-    right = right.withColumnsRenamed({on: f"r_{on}", "salt": "r_salt"})
-    band = F.expr(f"{on} = r_{on} AND salt = r_salt AND r_et >= {left_time} - INTERVAL '{before_ms / 1000}' SECOND "
-                  f"AND r_et <= {left_time} + INTERVAL '{after_ms / 1000}' SECOND")
-    return left.join(right, band, how).drop("r_et", f"r_{on}", "salt", "r_salt")
-
-
-def _side(df: DataFrame, on: str, version: str, *columns: str) -> DataFrame:
-    """The right side of a band join: its key as ``on``, its columns, its place in the change order, its time."""
-    side = _timed(df, "r_et").withColumnsRenamed({df.columns[0]: on, "seq": version})
-    return side.select(on, *columns, version, "r_et")
-
-
-def _versions(*names: str) -> Column:
-    """Places of all sides in the change order: of rows with one key, ``read_upserts`` keeps the latest of each side."""
-    return F.array(*names).alias("versions")
 
+def pay_suc_stream(changes: Changes, order_detail: DataFrame, db: str = S.SOURCE_DB,
+                   before_ms: int = S.PAY_BEFORE_MS, after_ms: int = S.PAY_AFTER_MS) -> DataFrame:
+    """Paid details, the payment's kind as its code.
 
-def _details_with(changes: DataFrame, orders: DataFrame, db: str, before_ms: int, after_ms: int) -> DataFrame:
-    details = _timed(P.order_detail_src(changes, db).withColumnRenamed("seq", "v_detail"), "et")
-    order_side = _side(orders, "order_id", "v_order", "user_id", "province_id")
-    activity_side = _side(P.order_activity_src(changes, db), "id", "v_activity", "activity_id", "activity_rule_id")
-    coupon_side = _side(P.order_coupon_src(changes, db), "id", "v_coupon", "coupon_id")
-    rows = band_join(details, order_side, "order_id", before_ms, after_ms, "inner", salts=SALTS)
-    rows = band_join(rows, activity_side, "id", before_ms, after_ms, "left")
-    rows = band_join(rows, coupon_side, "id", before_ms, after_ms, "left")
-    return rows.select(*ORDER_DETAIL_COLUMNS, _versions("v_detail", "v_order", "v_activity", "v_coupon"))
-
-
-def order_detail_stream(changes: DataFrame, db: str = S.SOURCE_DB, band_ms: int = S.ORDER_BAND_MS) -> DataFrame:
-    return _details_with(changes, P.order_info_src(changes, db), db, band_ms, band_ms)
-
-
-def order_cancel_stream(changes: DataFrame, db: str = S.SOURCE_DB, wait_ms: int = S.CANCEL_BAND_MS,
-                        band_ms: int = S.ORDER_BAND_MS) -> DataFrame:
-    """Details of orders cancelled within ``wait_ms`` after they were placed."""
-    return _details_with(changes, P.order_cancel_src(changes, db), db, band_ms, wait_ms)
-
-
-def pay_suc_stream(changes: DataFrame, order_detail: DataFrame, dic: DataFrame, db: str = S.SOURCE_DB) -> DataFrame:
-    """``order_detail`` comes from ``read_order_detail``, with its watermark on ``et``, or without any."""
-    payments = _timed(P.payment_src(changes, db).select(
+    ``order_detail`` comes from ``read_order_detail``, with its watermark on ``et``, or without any.
+    """
+    payments = timed(P.payment_src(changes, db).select(
         "order_id", F.col("payment_type").alias("payment_type_code"), "callback_time",
         F.col("ts").alias("pay_ts")), "et", ms="pay_ts")
-    timed = "et" in order_detail.columns
-    details = order_detail.withColumnRenamed("et", "row_et") if timed else _timed(order_detail, "row_et")
-    return payment_columns(lookup(interval_join(payments, details, "order_id", salts=SALTS), dic,
-                                  "payment_type_code", "payment_type_name"))
-
-
-def refund_stream(changes: DataFrame, dic: DataFrame, db: str = S.SOURCE_DB, band_ms: int = S.ORDER_BAND_MS) -> DataFrame:
-    refunds = _timed(P.refund_src(changes, db).withColumnRenamed("seq", "v_refund"), "et")
-    orders = _side(P.order_refund_src(changes, db), "order_id", "v_order", "province_id")
-    rows = band_join(refunds, orders, "order_id", band_ms, band_ms, "inner", salts=SALTS)
-    return refund_columns(rows.withColumn("versions", _versions("v_refund", "v_order")), dic, "versions")
+    details = order_detail.withColumnRenamed("et", "row_et") if "et" in order_detail.columns else timed(order_detail, "row_et")
+    return interval_join(payments, details, "order_id", before_ms=before_ms, after_ms=after_ms, salts=SALTS).drop("et", "row_et")
 
 
 def traffic_stream(pages: DataFrame, size: str = S.TRAFFIC_WINDOW, delay: str = S.PAGE_DELAY,
-                   gap_ms: int = S.SESSION_GAP_MS, forget_ms: int | None = None) -> DataFrame:
+                   gap_ms: int = S.SESSION_GAP_MS) -> DataFrame:
     """Page views, daily visitors and sessions in one window sum: all views, and the events that count."""
     dims = W.traffic_dims()
     pages = pages.where(F.col("page").isNotNull())
-    views = _timed(pages.select("ts", *[c.alias(n) for n, c in dims.items()],
+    views = timed(pages.select("ts", *[c.alias(n) for n, c in dims.items()],
                                 F.col("page")["during_time"].cast("bigint").alias("during_time")), "et", delay)
-    firsts = _timed(first_events_stream(
-        pages, [daily_row("day", dims), session_row(dims, gap_ms)], dims, gap_ms, forget_ms), "et", delay)
+    firsts = first_events_stream(pages, [daily_row("day", dims), session_row(dims, gap_ms)], dims, gap_ms, delay)
     is_session = F.col("kind") == SESSION
     counted = W.traffic_part(firsts, uv=F.when(is_session, 0).otherwise(1), sv=F.when(is_session, 1).otherwise(0))
     parts = W.traffic_part(views, pv=1, dur=F.col("during_time")).unionByName(counted)
@@ -103,5 +44,5 @@ def traffic_stream(pages: DataFrame, size: str = S.TRAFFIC_WINDOW, delay: str =
 
 def home_detail_stream(pages: DataFrame, size: str = S.HOME_DETAIL_WINDOW, delay: str = S.PAGE_DELAY) -> DataFrame:
     candidates = [daily_row(F.col("page")["page_id"], {})]
-    visits = first_events_stream(W.home_detail_pages(pages), candidates, {}).withColumnRenamed("kind", "page_id")
-    return W.with_window_text(W.home_detail_counts(_timed(visits, "et", delay), size))
+    visits = first_events_stream(W.home_detail_pages(pages), candidates, {}, delay=delay).withColumnRenamed("kind", "page_id")
+    return W.with_window_text(W.home_detail_counts(visits, size))

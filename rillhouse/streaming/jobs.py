@@ -16,16 +16,17 @@ from pyspark.sql.streaming import StreamingQuery
 from rillhouse import schemas, settings as S
 from rillhouse.operators import dims
 from rillhouse.operators import visitors as V
-from rillhouse.operators.clean import clean_json
+from rillhouse.operators.clean import Changes, clean_json
 from rillhouse.operators.joins import route_changes
 from rillhouse.operators.logs import split_log, with_device
+from rillhouse.plans import bands
 from rillhouse.plans import facts as PF
 from rillhouse.plans import routing as PR
 from rillhouse.plans import traffic as PT
 from rillhouse.streaming import facts as SF
 from rillhouse.streaming.sinks import append_sink, batch_sink, upsert_sink, window_sink
-from rillhouse.streaming.tables import append_batch, compact, read_batches
-from rillhouse.streaming.visitors import COMPACT_EVERY, repair_batch
+from rillhouse.streaming.tables import BatchTable, append_batch
+from rillhouse.streaming.visitors import repair_batch
 
 Config = Callable[[SparkSession], DataFrame]
 
@@ -46,32 +47,34 @@ def ods_ingest(lines: DataFrame, path: str, checkpoint: str, once: bool = False,
     return append_sink(dealt, path, checkpoint, partition_by=("source_table", "day"), once=once)
 
 
-def dim_sync(changes: DataFrame, config: Config, path: str, checkpoint: str, once: bool = False,
-             compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+def dim_table(path: str, **sizes: int) -> BatchTable:
+    """The cells of all dimension rows."""
+    return BatchTable(path, CELLS, ("sink_table", "row_key"), dims.merge_cells, **sizes)
+
+
+def dim_sync(changes: DataFrame, config: Config, path: str, checkpoint: str, once: bool = False, **sizes: int) -> StreamingQuery:
     """Keep dimensions current. A batch adds the cells it writes; ``read_dims`` merges them."""
     def handle(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        if n and n % compact_every == 0:
-            compact(spark, path, CELLS, n - 1, dims.merge_cells)
-        append_batch(dims.dim_cells(route_changes(batch, PR.dim_config(config(spark)))), path, n)
+        routed = route_changes(batch, PR.dim_config(config(batch.sparkSession)))
+        dim_table(path, **sizes).add(dims.dim_cells(routed), n)
 
     return batch_sink(changes, handle, checkpoint, once)
 
 
-def read_dims(spark: SparkSession, path: str, config: Config) -> DataFrame:
+def read_dims(spark: SparkSession, path: str, config: Config, **sizes: int) -> DataFrame:
     """Current dimension rows, as (sink_table, row_key, data)."""
-    cells = dims.merge_cells(read_batches(spark, path, CELLS))
+    cells = dim_table(path, **sizes).merged(spark)
     return dims.dim_rows(dims.dim_config_reset(cells, PR.dim_config(config(spark))))
 
 
 def dwd_base_log(lines: DataFrame, path: str, state: str, checkpoint: str, once: bool = False,
-                 order: tuple[str, ...] = V.ORDER) -> StreamingQuery:
+                 order: tuple[str, ...] = V.ORDER, **sizes: int) -> StreamingQuery:
     """Repair and split application logs into one folder of JSON lines per topic."""
     def handle(batch: DataFrame, n: int) -> None:
         # Parsed once for the first visits, the repair and the split; lost blocks are parsed again.
         logs = batch.persist()
         try:
-            append_batch(split_log(repair_batch(logs, n, state, order)), path, n, ("topic",), "text")
+            append_batch(split_log(repair_batch(logs, n, state, order, **sizes)), path, n, ("topic",), "text")
         finally:
             logs.unpersist()
 
@@ -99,36 +102,48 @@ def dwd_cart_add(changes: DataFrame, path: str, checkpoint: str, db: str = S.SOU
     return append_sink(PF.dwd_cart_add(changes, db), path, checkpoint, once=once)
 
 
-def dwd_order_detail(changes: DataFrame, path: str, checkpoint: str, db: str = S.SOURCE_DB,
-                     once: bool = False) -> StreamingQuery:
-    return upsert_sink(SF.order_detail_stream(changes, db), path, checkpoint, once)
+def dwd_order_detail(changes: Changes, path: str, checkpoint: str, db: str = S.SOURCE_DB, once: bool = False,
+                     band_ms: int = S.ORDER_BAND_MS, unmatched: str | None = None, **sizes: int) -> StreamingQuery:
+    """Order details, to be read with ``read_upserts``. ``unmatched`` names a folder for details whose order has not come in the band."""
+    return _upserts(bands.order_details(changes, db, band_ms), path, checkpoint, once, unmatched, **sizes)
+
 
+def dwd_order_cancel(changes: Changes, path: str, checkpoint: str, db: str = S.SOURCE_DB, once: bool = False,
+                     wait_ms: int = S.CANCEL_BAND_MS, band_ms: int = S.ORDER_BAND_MS, **sizes: int) -> StreamingQuery:
+    """Details of orders cancelled within ``wait_ms``; all other details are unmatched by nature and not kept."""
+    return _upserts(bands.cancelled_details(changes, db, wait_ms, band_ms), path, checkpoint, once, None, **sizes)
 
-def dwd_order_cancel(changes: DataFrame, path: str, checkpoint: str, db: str = S.SOURCE_DB,
-                     once: bool = False) -> StreamingQuery:
-    return upsert_sink(SF.order_cancel_stream(changes, db), path, checkpoint, once)
 
+def _upserts(rows: DataFrame, path: str, checkpoint: str, once: bool, unmatched: str | None, **sizes: int) -> StreamingQuery:
+    rows = rows if unmatched is not None else rows.where("matched").drop("matched")
+    return upsert_sink(rows, path, checkpoint, once, unmatched=unmatched, **sizes)
+
+
+def dwd_pay_suc(changes: Changes, order_detail: DataFrame, dic: Config, path: str, checkpoint: str,
+                db: str = S.SOURCE_DB, once: bool = False, before_ms: int = S.PAY_BEFORE_MS,
+                after_ms: int = S.PAY_AFTER_MS) -> StreamingQuery:
+    """Paid details, one folder for each batch; names are those the dictionary has when the batch runs."""
+    def handle(batch: DataFrame, n: int) -> None:
+        append_batch(PF.payment_columns(batch, dic(batch.sparkSession)), path, n)
 
-def dwd_pay_suc(changes: DataFrame, order_detail: DataFrame, dic: DataFrame, path: str, checkpoint: str,
-                db: str = S.SOURCE_DB, once: bool = False) -> StreamingQuery:
-    return append_sink(SF.pay_suc_stream(changes, order_detail, dic, db), path, checkpoint, once=once)
+    return batch_sink(SF.pay_suc_stream(changes, order_detail, db, before_ms, after_ms), handle, checkpoint, once)
 
 
-def dwd_refund(changes: DataFrame, dic: DataFrame, path: str, checkpoint: str, db: str = S.SOURCE_DB,
-               once: bool = False) -> StreamingQuery:
-    return upsert_sink(SF.refund_stream(changes, dic, db), path, checkpoint, once)
+def dwd_refund(changes: Changes, dic: Config, path: str, checkpoint: str, db: str = S.SOURCE_DB, once: bool = False,
+               band_ms: int = S.ORDER_BAND_MS, unmatched: str | None = None, **sizes: int) -> StreamingQuery:
+    """Refunds, to be read with ``read_upserts``; names are those the dictionary has when the batch runs."""
+    rows = bands.refunds(changes, db, band_ms)
+    rows = rows if unmatched is not None else rows.where("matched").drop("matched")
+    return upsert_sink(rows, path, checkpoint, once, unmatched=unmatched,
+                       shape=lambda batch: PF.refund_columns(batch, dic(batch.sparkSession), "versions"), **sizes)
 
 
 def dws_keyword(pages: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     return window_sink(PT.dws_keyword(pages), path, checkpoint, once=once)
 
 
-def dws_traffic(pages: DataFrame, path: str, checkpoint: str, once: bool = False,
-                forget_ms: int | None = None) -> StreamingQuery:
-    """``forget_ms`` bounds the sessions a query that runs on remembers, see ``first_events_stream``."""
-    if once and forget_ms is not None:
-        raise ValueError("a run over what is available cannot forget sessions")
-    return window_sink(SF.traffic_stream(pages, forget_ms=forget_ms), path, checkpoint, once=once)
+def dws_traffic(pages: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    return window_sink(SF.traffic_stream(pages), path, checkpoint, once=once)
 
 
 def dws_home_detail(pages: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from rillhouse import schemas
 from rillhouse.operators.upsert import upsert_latest
-from rillhouse.streaming.tables import append_batch, read_batches
+from rillhouse.streaming.tables import BatchTable, append_batch
 
 EVERY = "60 seconds"
 # Places in the change order, one for each side a row was joined from.
@@ -65,17 +65,39 @@ def window_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "json", on
     return batch_sink(df, lambda batch, n: append_batch(batch, path, n, fmt=fmt), checkpoint, once)
 
 
-def upsert_sink(df: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Rows to be read back by key, see ``read_upserts``."""
+def upsert_table(path: str, schema: T.StructType, key: str = "id", **sizes: int) -> BatchTable:
+    """The table behind ``upsert_sink``: rows of a schema, without their ``versions`` and batch, by key."""
+    own = [T.StructField("versions", VERSIONS), T.StructField("batch_id", T.LongType())]
+    full = T.StructType([f for f in schema.fields if f.name not in ("versions", "batch_id")] + own)
+    return BatchTable(path, full, (key,), lambda rows: upsert_latest(rows, [key], F.struct("ts", "versions", "batch_id")), **sizes)
+
+
+def upsert_sink(df: DataFrame, path: str, checkpoint: str, once: bool = False, key: str = "id",
+                shape: Callable[[DataFrame], DataFrame] = lambda batch: batch, unmatched: str | None = None, **sizes: int) -> StreamingQuery:
+    """Rows to be read back by key, see ``read_upserts``; of a batch only the latest of each key is written.
+
+    ``shape`` turns each batch into rows as they are stored. With ``unmatched``, rows of the stream that say they are not ``matched`` go, as
+    they are, to that folder instead, one folder for each batch.
+    """
+    def write(batch: DataFrame, n: int) -> None:
+        rows = shape(batch).withColumn("batch_id", F.lit(n).cast("bigint"))
+        table = upsert_table(path, rows.schema, key, **sizes)
+        table.add(table.merge(rows), n)
+
     def handle(batch: DataFrame, n: int) -> None:
-        append_batch(batch.withColumn("batch_id", F.lit(n).cast("bigint")), path, n)
+        if unmatched is None:
+            write(batch, n)
+            return
+        both = batch.persist()  # read twice; the joins behind it must run once
+        try:
+            append_batch(both.where(~F.col("matched")).drop("matched", "versions"), unmatched, n)
+            write(both.where("matched").drop("matched"), n)
+        finally:
+            both.unpersist()
 
     return batch_sink(df, handle, checkpoint, once)
 
 
-def read_upserts(spark: SparkSession, path: str, schema: T.StructType, key: str = "id") -> DataFrame:
+def read_upserts(spark: SparkSession, path: str, schema: T.StructType, key: str = "id", **sizes: int) -> DataFrame:
     """Latest row per key of what ``upsert_sink`` wrote; among rows of one time, the latest by their sides' ``versions``."""
-    own = [T.StructField("versions", VERSIONS), T.StructField("batch_id", T.LongType())]
-    full = T.StructType([f for f in schema.fields if f.name != "versions"] + own)
-    rows = read_batches(spark, path, full)
-    return upsert_latest(rows, [key], F.struct("ts", "versions", "batch_id")).drop("versions", "batch_id")
+    return upsert_table(path, schema, key, **sizes).merged(spark).drop("versions", "batch_id")

@@ -8,31 +8,38 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from rillhouse import settings as S
 from rillhouse.functions.times import event_time
 from rillhouse.operators import visitors as V
-from rillhouse.streaming.tables import append_batch, compact, read_batches
+from rillhouse.streaming.tables import BatchTable
 
 VISITS = T.StructType([T.StructField("mid", T.StringType()), T.StructField("first_visit", T.DateType())])
-COMPACT_EVERY = 50
+# A batch reads the first visits of only the buckets its devices are in.
+VISIT_BUCKETS = 64
+DAY_MS = 86_400_000
+# Days of one device whose state is one value, a bit for each.
+SPAN = 32
 
 
-def repair_batch(logs: DataFrame, batch_id: int, state: str, order: tuple[str, ...] = V.ORDER,
-                 compact_every: int = COMPACT_EVERY) -> DataFrame:
+def visits_table(state: str, **sizes: int) -> BatchTable:
+    return BatchTable(state, VISITS, ("mid",), **{"buckets": VISIT_BUCKETS, **sizes})
+
+
+def repair_batch(logs: DataFrame, batch_id: int, state: str, order: tuple[str, ...] = V.ORDER, **sizes: int) -> DataFrame:
     """New-visitor repair of one micro-batch against the first visits of all earlier ones.
 
-    First visits never change, so the state is a table to which each batch adds its new devices.
+    First visits never change, so the state is a table to which each batch adds its new devices, dealt to
+    buckets by device. The batch reads the buckets its devices are in; a key-wise lookup of the rest of the table is not needed.
     The rows meet it as in the static form, with hot devices split off.
     """
-    spark = logs.sparkSession
-    if batch_id and batch_id % compact_every == 0:
-        compact(spark, state, VISITS, batch_id - 1, lambda visits: visits)
-    known = read_batches(spark, state, VISITS, batch_id - 1)
-    new = V.first_visits(logs, order).join(known, "mid", "left_anti")
-    append_batch(new, state, batch_id)
-    return V.new_visitor_repair(logs, order, read_batches(spark, state, VISITS, batch_id))
+    spark, table = logs.sparkSession, visits_table(state, **sizes)
+    devices = logs.where(V.mid().isNotNull())
+    touched = [r[0] for r in devices.select(table.bucket(V.mid()).alias("b")).distinct().collect()]  # at most the number of buckets
+    known = table.read(spark, batch_id - 1, touched)
+    table.add(V.first_visits(logs, order).join(known, "mid", "left_anti"), batch_id)
+    return V.new_visitor_repair(logs, order, table.read(spark, batch_id, touched))
 
 
 SESSION = "session"
@@ -56,50 +63,75 @@ def session_row(keep: dict[str, Column], gap_ms: int = S.SESSION_GAP_MS) -> Colu
     return visit_row(SESSION, F.col("common")["sid"], F.floor(F.col("ts") / gap_ms), keep)
 
 
+class FirstEvents(StatefulProcessor):
+    """One number for each key: the days seen, as bits, of a device and ``SPAN`` days, or a session's last time.
+
+    A key's state goes when the watermark has passed what it is for: the span's end, or the gap after the session's last time. Rows that
+    come later are late, or open a session anyway, so nothing is lost with it.
+    """
+
+    def __init__(self, names: list[str], gap_ms: int):
+        self.names, self.gap_ms = names, gap_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.seen = handle, handle.getValueState("seen", "value bigint")
+
+    def _ends(self, key: tuple, seen: int) -> int:
+        return seen + self.gap_ms if key[0] == SESSION else (key[2] + 1) * SPAN * DAY_MS
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        buckets = first_per_bucket(pd.concat(list(rows)), ["bucket"]).sort_values("bucket")
+        known = self.seen.exists()
+        held = self.seen.get()[0] if known else None
+        if key[0] == SESSION:
+            opened, seen = open_sessions(buckets, held, self.gap_ms)
+        else:
+            bits = 2 ** (buckets["bucket"] % SPAN).astype("int64")
+            opened = (bits & (held or 0)) == 0
+            seen = (held or 0) | int(bits.sum())  # each day is one row
+        self.seen.update((seen,))
+        if not known:
+            self.handle.registerTimer(self._ends(key, seen))
+        yield buckets.loc[opened, self.names]
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        ends = self._ends(key, self.seen.get()[0])
+        if ends > timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(ends)  # the session went on
+        else:
+            self.seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
 def first_events_stream(pages: DataFrame, rows: list[Column], keep: dict[str, Column],
-                        gap_ms: int = S.SESSION_GAP_MS, forget_ms: int | None = None) -> DataFrame:
-    """Events that count: the first of each device and day, and those that open a session.
-
-    All kinds share one stateful step, as a query may hold only one. Before rows are grouped by
-    key, each task reduces them to the first event and the last time per key and time bucket, so a
-    key with very many rows does not reach one task whole. A session bucket is no wider than the
-    gap, so only its first event can open a session.
-
-    The input must have no watermark yet: results get theirs from ``ts``. A device's days are all
-    kept. A session's last time is kept too, unless ``forget_ms`` is given: it is then removed once no
-    row of the session has come for so long by the clock, and a later row opens the session anew. Spark
-    keeps starting batches to look for idle sessions, so a run over what is available must not give it.
+                        gap_ms: int = S.SESSION_GAP_MS, delay: str = S.PAGE_DELAY) -> DataFrame:
+    """Events that count, with their time ``et``: the first of each device and day, and those that open a session.
+
+    All kinds share one stateful step. Before rows are grouped by key, each task reduces them to the first event
+    and the last time per key and time bucket, so a key with very many rows does not reach one task whole. A
+    session bucket is no wider than the gap, so only its first event can open a session.
+
+    The input must have no watermark yet: rows may come ``delay`` late, later ones are dropped. State goes behind the watermark,
+    see ``FirstEvents``, so it is by event time alone when a session is forgotten: a query that was stopped for long, and one that runs over what
+    is available, give the same events.
     """
     fields = "".join(f", {n} string" for n in keep)
-    candidates = f"kind string, key string, bucket bigint, ts bigint{fields}, last_ts bigint"
-    names = ["kind", "key", "ts", *keep]
+    names = ["kind", "key", "ts", *keep, "et"]
 
     def reduce_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield first_per_bucket(batch.assign(last_ts=batch["ts"]), ["kind", "key", "bucket"])
 
-    def count_firsts(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        buckets = first_per_bucket(pd.concat(list(batches)), ["bucket"]).sort_values("bucket")
-        last, days = state.get if state.exists else (None, [])
-        if key[0] == SESSION:
-            opened, last = open_sessions(buckets, last, gap_ms)
-        else:
-            opened = ~buckets["bucket"].isin(days)
-            days = sorted({*days, *map(int, buckets["bucket"])})
-        state.update((last, list(days)))
-        if forget_ms is not None and key[0] == SESSION:
-            state.setTimeoutDuration(forget_ms)
-        yield buckets.loc[opened, names]
-
     chosen = pages.select(F.explode(F.array_compact(F.array(*rows))).alias("row")).select("row.*")
-    return (chosen.mapInPandas(reduce_rows, candidates).groupBy("kind", "key")
-            .applyInPandasWithState(count_firsts, f"kind string, key string, ts bigint{fields}",
-                                    "last_ts bigint, days array<bigint>", "append",
-                                    GroupStateTimeout.ProcessingTimeTimeout if forget_ms is not None
-                                    else GroupStateTimeout.NoTimeout))
+    reduced = chosen.mapInPandas(reduce_rows, f"kind string, key string, bucket bigint, ts bigint{fields}, last_ts bigint")
+    # A session is one key, a device one for each span of days.
+    span = F.when(F.col("kind") != SESSION, F.floor(F.col("bucket") / SPAN)).otherwise(0).cast("bigint")
+    timed = reduced.withColumn("et", event_time(F.col("ts"))).withWatermark("et", delay).withColumn("span", span)
+    return timed.groupBy("kind", "key", "span").transformWithStateInPandas(
+        FirstEvents(names, gap_ms), f"kind string, key string, ts bigint{fields}, et timestamp", "Append", "EventTime", eventTimeColumnName="et")
 
 
 def first_per_bucket(rows: pd.DataFrame, keys: list[str]) -> pd.DataFrame:

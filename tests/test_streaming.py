@@ -16,7 +16,6 @@ from rillhouse.sources import testfeeds as X
 from rillhouse.sources.feeds import read_json_stream, read_order_detail
 from rillhouse.streaming import jobs
 from rillhouse.streaming.sinks import append_sink, read_upserts
-from rillhouse.streaming.tables import append_batch, compact, read_batches
 from rillhouse.streaming.visitors import daily_row, first_events_stream
 
 FAR = T0 + 400 * DAY
@@ -136,7 +135,7 @@ def test_a_day_long_past_does_not_count_again(spark, feed, pages):
              pages(("a", "c", "0", "home", T0 + HOUR)))
 
     def firsts(stream, checkpoint, once):
-        return append_sink(first_events_stream(stream, [daily_row("day", {})], {}), feed.out, checkpoint, once=once)
+        return append_sink(first_events_stream(stream, [daily_row("day", {})], {}, delay="60 days"), feed.out, checkpoint, once=once)
 
     feed.run(firsts)
     assert rows_of(spark.read.parquet(feed.out), "ts") == [(T0,), (T0 + 40 * DAY,)]
@@ -164,8 +163,8 @@ def test_pay_suc_stream(spark, feed, changes, dic, tmp_path):
     detail_rows.coalesce(1).write.parquet(facts)
     payments = changes(paid("1", T0 + 900_000), paid("2", T0 + 900_001), paid("3", T0 - 5_000, "9"))
     feed.add(payments)
-    feed.run(jobs.dwd_pay_suc, read_order_detail(spark, facts, streaming=True), dic, feed.out)
-    same(spark.read.parquet(feed.out), PF.dwd_pay_suc(payments, detail_rows, dic))
+    feed.run(jobs.dwd_pay_suc, read_order_detail(spark, facts, streaming=True), lambda s: dic, feed.out)
+    same(spark.read.parquet(f"{feed.out}/batches").drop("batch"), PF.dwd_pay_suc(payments, detail_rows, dic))
 
 
 def test_refund_stream(spark, feed, changes, dic):
@@ -174,8 +173,8 @@ def test_refund_stream(spark, feed, changes, dic):
     rows = changes(order("1", T0, "u", {"order_status": "1002"}, "1005"), refund("r", "1", T0 + 5000),
                    refund("s", "2", T0), order("3", T0, "u", {}, "1005"), refund("t", "3", T0))
     feed.add(rows)
-    feed.run(jobs.dwd_refund, dic, feed.out)
-    got = read_upserts(spark, feed.out, spark.read.parquet(f"{feed.out}/batches").drop("batch", "batch_id").schema)
+    feed.run(jobs.dwd_refund, lambda s: dic, feed.out)
+    got = read_upserts(spark, feed.out, schemas.REFUND)
     same(got, PF.dwd_refund(rows, dic))
 
 
@@ -200,7 +199,7 @@ def test_dim_stream_follows_config(spark, feed, changes):
     def config(session):
         return config_feed(spark, ("c", 0, None, CONFIG))
 
-    feed.run(jobs.dim_sync, config, feed.out, compact_every=2)
+    feed.run(jobs.dim_sync, config, feed.out, every=2)
     whole = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
     got = jobs.read_dims(spark, feed.out, config)
     assert {r.row_key: r.data for r in got.collect()} == \
@@ -244,17 +243,3 @@ def test_ods_stream_lands_by_table(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "ods"))
     assert rows_of(got, "source_table", F.col("day").cast("string")) == [("t", "2024-01-01")]
     assert json.loads(got.first().value) == good
-
-
-def test_batches_can_be_repeated_and_compacted(spark, tmp_path):
-    path, schema = str(tmp_path / "t"), "k string, n long"
-    frame = spark.createDataFrame([("a", 1)], schema)
-    for n in (0, 1, 1):
-        append_batch(frame, path, n)
-    assert read_batches(spark, path, frame.schema).count() == 2
-    compact(spark, path, frame.schema, 0, lambda d: d)
-    compact(spark, path, frame.schema, 1, lambda d: d.groupBy("k").agg(F.sum("n").alias("n")))
-    append_batch(frame, path, 2)
-    assert rows_of(read_batches(spark, path, frame.schema)) == [("a", 1), ("a", 2)]
-    assert read_batches(spark, path, frame.schema, upto=0).count() == 1
-    assert read_batches(spark, str(tmp_path / "none"), frame.schema).count() == 0
