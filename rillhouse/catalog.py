@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from rillhouse import schemas, settings as S
 from rillhouse.functions import times as T
@@ -14,14 +15,16 @@ from rillhouse.functions.records import as_text_map, row_map
 from rillhouse.operators import clean, dims, facts, joins, logs, upsert
 from rillhouse.operators import visitors as V
 from rillhouse.operators import windows as W
+from rillhouse.plans import bands
 from rillhouse.plans import facts as PF
 from rillhouse.plans import routing as PR
 from rillhouse.plans import traffic as PT
 from rillhouse.session import shared_dir
-from rillhouse.sinks import to_snake_json
+from rillhouse.sinks import route_sink, to_snake_json
 from rillhouse.sources import feeds
 from rillhouse.sources import testfeeds as X
 from rillhouse.streaming import jobs
+from rillhouse.streaming.sinks import read_upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,14 +64,14 @@ def _dim_columns(rows: DataFrame) -> DataFrame:
     return rows.select("sink_table", "row_key", *[F.col("data")[f].alias(f) for f in fields])
 
 
-@query
-def dwd_base_log(spark, d):
+def _log_fields(rows: DataFrame) -> DataFrame:
+    """Fields of all five topics of a split log."""
     v = F.col("value")
 
     def field(name: str):
         return F.coalesce(F.get_json_object(v, f"$.common.{name}"), F.get_json_object(v, f"$.{name}"))
 
-    return PT.dwd_base_log(X.app_log(spark, d), ORDER).select(
+    return rows.select(
         "topic", field("mid").alias("mid"), field("is_new").alias("is_new"), field("sid").alias("sid"),
         F.coalesce(F.get_json_object(v, "$.page.item"), F.get_json_object(v, "$.item")).alias("item"),
         F.get_json_object(v, "$.pos_id").alias("pos_id"), F.get_json_object(v, "$.action_id").alias("action_id"),
@@ -76,6 +79,11 @@ def dwd_base_log(spark, d):
         F.get_json_object(v, "$.ts").cast("bigint").alias("ts"))
 
 
+@query
+def dwd_base_log(spark, d):
+    return _log_fields(PT.dwd_base_log(X.app_log(spark, d), ORDER))
+
+
 @query
 def dwd_base_db(spark, d):
     feed = X.change_feed(spark, d, "user_info", "base_province", "cart_info")
@@ -148,13 +156,35 @@ def dws_home_detail_day(spark, d):
 
 # --- jobs as streaming queries ----------------------------------------------------------------
 
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+
+
 def _landed(spark: SparkSession, df: DataFrame) -> tuple[DataFrame, str]:
     """A stream over the rows, written to files first, and a folder for what the query writes."""
-    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    folder = _folder(spark)
     df.write.parquet(f"{folder}/in")
     return spark.readStream.schema(df.schema).parquet(f"{folder}/in"), folder
 
 
+def _restarted(spark: SparkSession, parts: list[DataFrame], start: Callable[[DataFrame, str, str], StreamingQuery]) -> str:
+    """The folder of a query that is started once for each part of a feed, with the same checkpoint; ``start`` gets stream, folder and checkpoint."""
+    folder = _folder(spark)
+    for part in parts:
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(part.schema).parquet(f"{folder}/in")
+        start(stream, folder, f"{folder}/checkpoint").awaitTermination()
+    return folder
+
+
+def _halves(lines: DataFrame, ts: Column, tombstones: int = 3) -> list[DataFrame]:
+    """Lines up to the middle of their time and those after it, empty messages among both."""
+    low, high = lines.agg(F.min(ts), F.max(ts)).first()
+    middle = (low + high) // 2
+    empty = lines.sparkSession.range(tombstones).select(F.lit(None).cast("string").alias("value"))
+    return [lines.where(ts < middle).select("value").unionAll(empty), lines.where(ts >= middle).select("value").unionAll(empty)]
+
+
 def _ods(spark: SparkSession, lines: DataFrame) -> str:
     """A folder into which the landing job has taken all lines."""
     stream, folder = _landed(spark, lines)
@@ -162,6 +192,18 @@ def _ods(spark: SparkSession, lines: DataFrame) -> str:
     return f"{folder}/ods"
 
 
+def _landed_streams(spark: SparkSession, d: str, *names: str) -> tuple[Callable[[str], DataFrame], str]:
+    """The landed changes of the named tables as one stream each, closing rows included, and a folder for results."""
+    feed = X.change_feed(spark, d, *names).unionByName(X.closing_changes(spark, *names))
+    ods = _ods(spark, X.json_lines(feed))
+    return lambda table: feeds.stream_ods(spark, ods, table), ods.rsplit("/", 1)[0]
+
+
+def _window_rows(spark: SparkSession, folder: str, measures: str) -> DataFrame:
+    """Windows that a query wrote; the closing row's own window stays open."""
+    return spark.read.schema(f"stt string, edt string, cur_date string, {measures}").json(f"{folder}/out/batches/*")
+
+
 @query
 def dwd_order_detail_landed(spark, d):
     """Order details from the landed feed, of which only the four tables' folders are read; lines that are no JSON stay out."""
@@ -178,19 +220,151 @@ def read_ods_days(spark, d):
     return rows.select(F.col("source")["table"].alias("source_table"), "op", F.col("after")["id"].alias("id"), "ts_ms")
 
 
+@query
+def dwd_order_detail_band(spark, d):
+    """Order details whose order change is at most five seconds away, as the streaming job joins them by default."""
+    return PF.dwd_order_detail(X.change_feed(spark, d, *DETAIL_TABLES), band_ms=S.ORDER_BAND_MS)
+
+
+@query
+def order_detail_unmatched(spark, d):
+    """Detail changes without an order change in those five seconds."""
+    rows = bands.order_details(X.change_feed(spark, d, *DETAIL_TABLES), band_ms=S.ORDER_BAND_MS)
+    return bands.unmatched(rows).select("id", "order_id", "split_coupon_amount", "ts")
+
+
+@query
+def stream_ods_ingest(spark, d):
+    lines = X.raw_lines(spark, d, X.change_feed(spark, d, "order_info", "cart_info"))
+    rows = spark.read.schema(feeds.ODS).parquet(_ods(spark, lines))
+    j = F.col("value")
+    return rows.select("source_table", F.date_format("day", S.DATE_FORMAT).alias("day"), F.get_json_object(j, "$.op").alias("op"),
+                       F.get_json_object(j, "$.after.id").alias("id"), F.get_json_object(j, "$.ts_ms").cast("bigint").alias("ts_ms"))
+
+
+@query
+def stream_dwd_order_detail(spark, d):
+    """Order details as a streaming query over the landed feed, in a band that holds all of an order's changes, read back by key."""
+    changes, folder = _landed_streams(spark, d, *DETAIL_TABLES)
+    jobs.dwd_order_detail(changes, f"{folder}/out", f"{folder}/checkpoint", once=True, band_ms=10_000,
+                          unmatched=f"{folder}/unmatched").awaitTermination()
+    return read_upserts(spark, f"{folder}/out", schemas.ORDER_DETAIL).where(F.col("id") != X.LAST)
+
+
+@query
+def stream_dwd_order_cancel(spark, d):
+    changes, folder = _landed_streams(spark, d, *DETAIL_TABLES)
+    jobs.dwd_order_cancel(changes, f"{folder}/out", f"{folder}/checkpoint", once=True, band_ms=10_000).awaitTermination()
+    return read_upserts(spark, f"{folder}/out", schemas.ORDER_DETAIL).where(F.col("id") != X.LAST)
+
+
+@query
+def stream_dwd_pay_suc(spark, d):
+    """Payments as a streaming query over the landed feed and the order details as a file stream, names from a table read per batch."""
+    changes, folder = _landed_streams(spark, d, "payment_info")
+    PF.dwd_order_detail(X.change_feed(spark, d, *DETAIL_TABLES)).write.parquet(f"{folder}/details")
+    details = feeds.read_order_detail(spark, f"{folder}/details", streaming=True)
+    jobs.dwd_pay_suc(changes, details, lambda s: X.base_dic(s, d), f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/out/batches/*")
+
+
+@query
+def stream_dwd_refund(spark, d):
+    """Refunds come a minute after their order goes into refund, so in a band of two minutes."""
+    changes, folder = _landed_streams(spark, d, "order_info", "order_refund_info")
+    jobs.dwd_refund(changes, lambda s: X.base_dic(s, d), f"{folder}/out", f"{folder}/checkpoint", once=True, band_ms=120_000,
+                    unmatched=f"{folder}/unmatched").awaitTermination()
+    return read_upserts(spark, f"{folder}/out", schemas.REFUND).where(F.col("id") != X.LAST)
+
+
+@query
+def stream_dwd_comment(spark, d):
+    stream, folder = _landed(spark, X.change_feed(spark, d, "comment_info", "cart_info"))
+    jobs.dwd_comment(stream, lambda s: X.base_dic(s, d), f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/out/batches/*")
+
+
+@query
+def stream_dwd_cart_add(spark, d):
+    stream, folder = _landed(spark, X.change_feed(spark, d, "cart_info", "comment_info"))
+    jobs.dwd_cart_add(stream, f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query
+def stream_dwd_base_db(spark, d):
+    stream, folder = _landed(spark, X.change_feed(spark, d, "user_info", "base_province", "cart_info"))
+    jobs.dwd_base_db(stream, X.dwd_config_changes, f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
+    v = F.col("value")
+    return spark.read.text(f"{folder}/out/batches").select(
+        "sink_table", F.size(F.json_object_keys(v)).alias("n_fields"),
+        *[F.get_json_object(v, f"$.{f}").alias(f) for f in ("id", "login_name", "sku_num")])
+
+
+@query
+def stream_dwd_base_log(spark, d):
+    """The log split as a query that is stopped in the middle of the logs' time and started again; raw lines, tombstones among them."""
+    lines = X.app_log(spark, d).drop("event_id")
+    lines = lines.select("ts", F.to_json(F.struct(*lines.columns)).alias("value"))
+
+    def start(stream, folder, checkpoint):
+        messages = feeds.drop_tombstones(stream)
+        return jobs.dwd_base_log(messages, f"{folder}/out", f"{folder}/state", checkpoint, once=True)
+
+    folder = _restarted(spark, _halves(lines, F.col("ts")), start)
+    return _log_fields(spark.read.text(f"{folder}/out/batches").select("topic", "value"))
+
+
+@query
+def stream_restart_dws_keyword(spark, d):
+    """Keyword windows of a query that is stopped in the middle and started again.
+
+    Empty messages come in both halves. The second one repeats rows of five days and more before the middle: their windows are closed.
+    """
+    views = X.page_log(spark, d).drop("event_id")
+    views = views.unionByName(X.closing_view(views))
+    closing = views.agg(F.max("ts")).first()[0]
+    lines = views.select("ts", F.to_json(F.struct(*views.columns)).alias("value"))
+    first, second = _halves(lines.where(F.col("ts") < closing), F.col("ts"))
+    middle = F.get_json_object("value", "$.ts").cast("bigint")
+    latest = first.agg(F.max(middle)).first()[0]
+    late = first.where(middle < latest - 5 * 86_400_000)
+    second = second.unionAll(late).unionAll(lines.where(F.col("ts") == closing).select("value"))
+
+    def start(stream, folder, checkpoint):
+        return jobs.dws_keyword(feeds.read_page_log(feeds.drop_tombstones(stream), typed=True, delay=None), f"{folder}/out", checkpoint, once=True)
+
+    return _window_rows(spark, _restarted(spark, [first, second], start), "keyword string, keyword_count bigint")
+
+
 @query
 def stream_dws_traffic(spark, d):
     """The traffic windows as a streaming query; a row a year later closes all windows."""
     views = X.page_log(spark, d).drop("event_id")
-    late = F.lit('{"mid": "late", "sid": "late", "vc": "late"}'), F.lit('{"page_id": "late"}')
-    last = views.agg(F.max("ts").alias("ts")).select(
-        *[F.from_json(text, views.schema[n].dataType).alias(n) for n, text in zip(("common", "page"), late)],
-        (F.col("ts") + 366 * 86_400_000).alias("ts"))
-    stream, folder = _landed(spark, views.unionByName(last))
+    stream, folder = _landed(spark, views.unionByName(X.closing_view(views)))
     jobs.dws_traffic(stream, f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
-    schema = "stt string, edt string, cur_date string, vc string, ch string, ar string, is_new string, " \
-             "uv_ct bigint, sv_ct bigint, pv_ct bigint, dur_sum bigint"
-    return spark.read.schema(schema).json(f"{folder}/out/batches/*").where("NOT vc <=> 'late'")
+    measures = "vc string, ch string, ar string, is_new string, uv_ct bigint, sv_ct bigint, pv_ct bigint, dur_sum bigint"
+    return _window_rows(spark, folder, measures)
+
+
+@query
+def stream_dws_home_detail(spark, d):
+    """Home and detail visitors; the closing view is one of the home page."""
+    views = X.page_log(spark, d).drop("event_id")
+    closing = X.closing_view(views).withColumn("page", F.col("page").withField("page_id", F.lit(W.HOME)))
+    stream, folder = _landed(spark, views.unionByName(closing))
+    jobs.dws_home_detail(stream, f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
+    return _window_rows(spark, folder, "home_uv_ct bigint, good_detail_uv_ct bigint")
+
+
+@query
+def chain_log_to_traffic(spark, d):
+    """Raw lines cleaned, repaired and split by topic into files; page views read back from there and summed by window."""
+    logs_in = clean.clean_json(X.raw_lines(spark, d, X.app_log(spark, d).drop("event_id")), schemas.APP_LOG)
+    folder = _folder(spark)
+    route_sink(PT.dwd_base_log(logs_in), f"{folder}/log", "topic", "text")
+    views = feeds.read_page_log(feeds.read_json_lines(spark, f"{folder}/log/topic={S.TOPIC_PAGE}"), typed=True)
+    return PT.dws_traffic(views)
 
 
 @query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +44,19 @@ def map_json(entries: Column, **numbers: Column) -> Column:
     return F.concat(F.rtrim(text, F.lit("}")), *tail, F.lit("}"))
 
 
+def unquoted_numbers(json: Column, names: tuple[str, ...]) -> Column:
+    """JSON text in which the named fields, at any depth, are numbers where their texts are.
+
+    A name counts only right after a brace or comma and outside of texts: within a text its quotes are escaped. Texts that are no number
+    of JSON, as ``007`` or ``+1``, stay texts.
+    """
+    if not names:
+        return json
+    listed = "|".join(re.escape(n) for n in names)
+    number = r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
+    return F.regexp_replace(json, rf'([{{,]"(?:{listed})":)"({number})"(?=[,}}])', "$1$2")
+
+
 def pick_columns(entries: Column, csv: Column, keep: tuple[str, ...] = ()) -> Column:
     """Only the entries whose keys a comma-separated list names."""
     wanted = F.split(csv, ",")

@@ -398,12 +398,28 @@ SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d %H:%M:%
 FROM events""",
 }
 
-ORACLES["stream_dws_traffic"] = ORACLES["dws_traffic"]
-ORACLES["stream_dim_sync"] = ORACLES["dim_sync"]
+# Streams, and jobs one after the other, give what their static jobs do.
+for _name in ("ods_ingest", "dim_sync", "dwd_base_db", "dwd_comment", "dwd_cart_add", "dwd_order_detail", "dwd_order_cancel", "dwd_pay_suc",
+              "dwd_refund", "dws_traffic", "dws_home_detail"):
+    ORACLES[f"stream_{_name}"] = ORACLES[_name]
+ORACLES["stream_restart_dws_keyword"] = ORACLES["dws_keyword"]
 ORACLES["dwd_order_detail_landed"] = ORACLES["dwd_order_detail"]
+
+# Lines carry no event number: of events at one time the earlier first visit counts, and the least dimensions.
+BY_TIME = REPAIRED.replace("ORDER BY ms, event_id", "ORDER BY ms, CASE WHEN is_new = '1' THEN d ELSE CAST(d - INTERVAL 1 DAY AS DATE) END")
+ORACLES["stream_dwd_base_log"] = ORACLES["dwd_base_log"].replace(REPAIRED, BY_TIME)
+ORACLES["chain_log_to_traffic"] = traffic_sql(5000).replace(f"WITH {LOGS}, {VISITORS}", f"WITH {BY_TIME}, " + VISITORS.replace(
+    "event_id", "vc, ch, ar, is_new").replace("FROM pages", "FROM views") + ", ").replace("dur FROM pages", "dur FROM views").replace(
+    ", \ndaily AS", ", views AS (SELECT * FROM repaired WHERE page_id IS NOT NULL),\ndaily AS").replace(", ,", ",")
+
 ORACLES["read_ods_days"] = f"""
 WITH {CART}, first_day AS (SELECT CAST(min(ts) AS DATE) AS d FROM events)
 SELECT 'cart_info' AS source_table, op, CASE WHEN op <> 'd' THEN id END AS id, ts AS ts_ms FROM cart, first_day
 WHERE CAST(make_timestamp(ts * 1000) AS DATE) BETWEEN d AND d + 1"""
+ORACLES["dwd_order_detail_band"] = f"""
+WITH {ORDERS}, {DETAILS.replace("latest_details AS (SELECT * FROM details QUALIFY",
+    "latest_details AS (SELECT * FROM details WHERE ts - (" + str(EPOCH) + " + l_orderkey * 60000) <= 5000 QUALIFY")}, {FACT} SELECT * FROM fact"""
+ORACLES["order_detail_unmatched"] = f"""
+WITH {ORDERS}, {DETAILS} SELECT d.id, order_id, split_coupon_amount, ts FROM details d WHERE ts - ({EPOCH} + l_orderkey * 60000) > 5000"""
 ORACLES["change_order"] = f"""
 WITH {ORDERS} SELECT CAST(id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id, 'last' AS province_id, t AS ts FROM order_rows"""

@@ -35,6 +35,15 @@ APP_LOG = T.StructType([
     T.StructField("ts", T.LongType()),
 ])
 
+# Fields of a log's maps that are numbers, by part; all others are texts.
+LOG_NUMBERS = {
+    "page": ("during_time",),
+    "start": ("loading_time", "open_ad_ms", "open_ad_skip_ms"),
+    "displays": ("pos_id", "pos_seq"),
+    "actions": ("ts",),
+    "err": ("error_code",),
+}
+
 # One page view, as the log split writes it.
 PAGE_LOG = T.StructType([
     T.StructField("common", TEXT_MAP),

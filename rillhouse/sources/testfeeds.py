@@ -314,3 +314,26 @@ def raw_lines(spark: SparkSession, sf_dir: str, records: DataFrame) -> DataFrame
     """Records as text lines, among them whole documents, which are no JSON."""
     junk = table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
     return json_lines(records).unionByName(junk)
+
+
+#: Key of rows that come long after all others, so that watermarks pass these; queries leave such rows out.
+LAST = "last"
+
+
+def closing_changes(spark: SparkSession, *names: str) -> DataFrame:
+    """One change of each named table, ten years later, that joins those of the others."""
+    row = {"id": LAST, "order_id": LAST, "order_detail_id": LAST, "order_status": S.ORDER_REFUNDED, "payment_status": S.PAYMENT_DONE}
+    was = {"order_status": "1002", "payment_status": "1601"}
+    late = EPOCH_MS + 10 * 366 * 86_400_000
+    cancelled = {**row, "order_status": S.ORDER_CANCELLED}
+    records = [(was, r, {"db": S.SOURCE_DB, "table": n, "pos": "1"}, "u", late)
+               for n in names for r in ((row, cancelled) if n == "order_info" else (row,))]
+    return spark.createDataFrame(records, schemas.CHANGE)
+
+
+def closing_view(views: DataFrame) -> DataFrame:
+    """A page view a year after all others, of all kinds that windows count."""
+    page = F.lit(f'{{"page_id": "{LAST}", "last_page_id": "{LAST}", "item": "{LAST}", "item_type": "keyword"}}')
+    texts = {"common": F.lit(f'{{"mid": "{LAST}", "sid": "{LAST}", "vc": "{LAST}", "is_new": "0"}}'), "page": page}
+    named = [F.from_json(t, views.schema[n].dataType).alias(n) for n, t in texts.items()]
+    return views.agg(F.max("ts").alias("ts")).select(*named, (F.col("ts") + 366 * 86_400_000).alias("ts"))
