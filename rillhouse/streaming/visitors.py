@@ -114,7 +114,8 @@ def first_events_stream(pages: DataFrame, rows: list[Column], keep: dict[str, Co
     and the last time per key and time bucket, so a key with very many rows does not reach one task whole. A
     session bucket is no wider than the gap, so only its first event can open a session.
 
-    The input must have no watermark yet: rows may come ``delay`` late, later ones are dropped. State goes behind the watermark,
+    The input must have no watermark yet: rows may come ``delay`` late, later ones are dropped. Of a batch the earliest row of a key and bucket
+    stands for all of them; where it is late itself, the others go with it, as they would had it come alone before them. State goes behind the watermark,
     see ``FirstEvents``, so it is by event time alone when a session is forgotten: a query that was stopped for long, and one that runs over what
     is available, give the same events.
     """
