@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,16 +51,23 @@ def _hash_of(df: DataFrame) -> Column:
     return F.xxhash64(*columns)
 
 
+def splits_skew(spark: SparkSession) -> bool:
+    """Whether adaptive execution splits partitions that one key has filled."""
+    return all(spark.conf.get(f"spark.sql.adaptive.{name}", "true") == "true" for name in ("enabled", "skewJoin.enabled"))
+
+
 def join_hot_split(left: DataFrame, right: DataFrame, key: str, how: str = "inner", share: float = HOT_SHARE,
                    keys_from: DataFrame | None = None, rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Equi-join in which the left side may be skewed and the right side is unique by ``key``.
+    """Equi-join in which the left side may be skewed and the right side is unique by ``key``. Both sides are planned once.
 
-    Hot keys are looked for first, in one pass over the key alone; ``keys_from`` names a cheaper
-    input for that than the left side. Without any the join is a plain one, left to adaptive execution.
-    Otherwise the left rows of hot keys are dealt to ``HOT_SALTS`` tasks by a hash of the row, and the right
-    rows of these at most ``MAX_HOT_KEYS`` keys are repeated for each. Both sides are planned once either way.
-    Which keys count as hot changes the plan only, never the result.
+    Where adaptive execution splits skewed partitions this is a plain join: the shuffle's own statistics show hot
+    keys, whose rows lie in many map outputs and are read apart. Otherwise hot keys are looked for first, in one pass over the key
+    alone; ``keys_from`` names a cheaper input for that than the left side. The left rows of hot keys are then dealt to
+    ``HOT_SALTS`` tasks by a hash of the row, and the right rows of these at most ``MAX_HOT_KEYS`` keys are repeated for each.
+    Neither changes the result.
     """
+    if splits_skew(left.sparkSession):
+        return left.join(right, key, how)
     source = (left if keys_from is None else keys_from).select(key)
     hot = [r[0] for r in hot_keys(source, key, share, rows).collect()]
     if not hot:
