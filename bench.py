@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,7 @@ def timed(df: Callable[[], DataFrame]) -> float:
 
 def land(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
     """Writes the feed's lines by table and day; not timed."""
-    path = f"{shared_dir(spark)}/bench-ods"
+    path = f"{shared_dir(spark)}/bench-{uuid.uuid4().hex}"
     lines = testfeeds.json_lines(testfeeds.change_feed(spark, folder, *LANDED))
     rows = feeds.ods_records(lines).repartition("source_table", "day")
     rows.write.partitionBy("source_table", "day").parquet(path)

@@ -67,6 +67,17 @@ def test_tables_and_days_prune_partitions(spark, ods):
     assert {r[0] for r in rows_of(two, F.col("source")["table"])} == {"order_info", "comment_info"}
 
 
+def test_a_folder_that_a_static_job_wrote(spark, ods, tmp_path):
+    """Without the streaming query's own list of files only the named tables' folders are listed."""
+    path, feed = str(tmp_path / "static"), ods[1]
+    PR.ods_ingest(json_lines(feed)).write.partitionBy("source_table", "day").parquet(path)
+    got = feeds.read_ods(spark, path, ("order_info", "none"))
+    assert all("source_table=order_info" in f for f in got.inputFiles()) and got.count() == 2
+    assert feeds.read_ods(spark, path, ("none",)).count() == 0
+    assert feeds.read_ods(spark, path).count() == feed.count()
+    assert rows_of(PF.dwd_order_detail(feeds.ods_tables(spark, path))) == rows_of(PF.dwd_order_detail(feed))
+
+
 def test_landed_feed_as_a_stream(spark, ods, tmp_path):
     path, feed = ods
     stream = feeds.stream_ods(spark, path, "comment_info")
