@@ -5,7 +5,8 @@ word's place in it is its id. Bigrams are sorted arrays of (context id, word id)
 statistics of each context; continuation counts of words are one array by id. Tasks write these files to the shared
 folder, each under a temporary name that is then replaced, so that a task that runs again leaves the same file.
 Workers map them when scoring; that folder must be reachable as a path on all machines. Counts, and with them files and shuffles,
-follow the distinct words and bigrams of the texts; a worker holds one range of them while writing.
+follow the distinct words and bigrams of the texts. There are as many files as the texts' size asks for: a worker holds one range of
+about ``RANGE`` entries at a time while writing, adding up what it has read so far as it goes.
 
 A text's tokens are its words (runs without white space, A-Z in lower case) and one end; the first word's context is a begin.
 Inputs: a null text is an empty one: it has only the end. Rows repeat as given, null ids included. Without training
@@ -30,7 +31,11 @@ from rillhouse.llm.words import chunks, hashed_words
 
 END = np.uint64(0x5851F42D4C957F2D)
 #: Entries a task holds before it sorts and adds them up.
-HELD = 1 << 22
+HELD = 1 << 21
+#: Entries, not yet added up, that a file is meant for.
+RANGE = 1 << 21
+#: Bytes of text for one file of the vocabulary.
+TEXT_RANGE = 1 << 24
 W32 = np.uint64(32)
 LOW32 = np.uint64(0xFFFFFFFF)
 Batches = Iterator[pa.RecordBatch]
@@ -39,9 +44,10 @@ Batches = Iterator[pa.RecordBatch]
 @dataclass(frozen=True)
 class Model:
     folder: str
-    bits: int                     # 2 ** bits files of each kind
+    bits: int                     # 2 ** bits files of the vocabulary
     offsets: tuple[int, ...]      # id of the first word of each vocabulary file; the last entry is V
     tokens: int                   # N
+    pair_bits: int = 0            # 2 ** pair_bits files of bigrams and of continuations
     discounts: tuple[float, float, float] = (0.5, 0.5, 0.5)
     word_discounts: tuple[float, float, float] = (0.5, 0.5, 0.5)
     word_mass: float = 1.0        # what unseen continuations get
@@ -72,11 +78,11 @@ class Model:
         return ids, counts
 
     def context_part(self, u: np.ndarray) -> np.ndarray:
-        return u * (1 << self.bits) // (self.size + 1)
+        return u * (1 << self.pair_bits) // (self.size + 1)
 
     def part_start(self, part: int) -> int:
         """First context id of a part; ids run to V, which stands for the begin."""
-        return -(-part * (self.size + 1) >> self.bits) if self.bits else 0
+        return -(-part * (self.size + 1) >> self.pair_bits)
 
 
 def _by_part(values: np.ndarray, part: np.ndarray):
@@ -118,14 +124,56 @@ def _row(names: list[str], part: int, *arrays: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([part]), *[pa.array([b], pa.binary()) for b in _binary(*arrays)]], names)
 
 
-def _gather(batches: Batches, dtypes: list) -> dict[int, list[np.ndarray]]:
-    """All rows of each part, as one array per column."""
-    got: dict[int, list[list[np.ndarray]]] = {}
+class _Sum:
+    """Keys with counts, added up whenever as many are waiting as have been."""
+
+    def __init__(self):
+        self.keys, self.counts, self.waiting, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.waiting.append((keys, counts))
+        self.n += len(keys)
+        if self.n > max(HELD, len(self.keys)):
+            self.done()
+
+    def done(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.waiting:
+            keys, counts = zip((self.keys, self.counts), *self.waiting)
+            self.waiting, self.n = [], 0
+            self.keys, self.counts = _summed(np.concatenate([k.astype(np.uint64) for k in keys]), np.concatenate([c.astype(np.int64) for c in counts]))
+        return self.keys, self.counts
+
+
+def _ranges(batches: Batches, read) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Each part's keys with their sums, one part after the other; rows come ordered by part. ``read`` gives a row's keys and counts."""
+    part = held = None
     for batch in batches:
-        for i, part in enumerate(batch.column(0).to_pylist()):
-            for k, (d, held) in enumerate(zip(dtypes, got.setdefault(part, [[] for _ in dtypes]))):
-                held.append(np.frombuffer(batch.column(k + 1)[i].as_py(), d))
-    return {p: [np.concatenate(c) for c in columns] for p, columns in got.items()}
+        for i, p in enumerate(batch.column(0).to_pylist()):
+            if p != part:
+                if held is not None:
+                    yield part, *held.done()
+                part, held = p, _Sum()
+            held.add(*read([c[i].as_py() for c in batch.columns[1:]]))
+    if held is not None:
+        yield part, *held.done()
+
+
+def _plain(row: list[bytes], kind) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(row[0], kind), np.frombuffer(row[1], np.uint32)
+
+
+def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """Rows of one part in one task, part after part."""
+    return rows.repartition(parts, "part").sortWithinPartitions("part")
+
+
+def _fitting(counts: np.ndarray) -> np.ndarray:
+    """In 32 bits where all counts have room there."""
+    return counts.astype(np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.uint64)
+
+
+def _bits(ranges: int) -> int:
+    return max(ranges - 1, 0).bit_length()
 
 
 def _discounts(n: list[int]) -> tuple[float, float, float]:
@@ -148,7 +196,8 @@ def fit(texts: DataFrame, text_col: str = "text") -> Model:
     """The model of all texts given."""
     spark = ship(texts.sparkSession)
     texts = texts.select(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
-    bits = max(0, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length() - 1)
+    letters = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    bits = _bits(-(-letters // TEXT_RANGE))
     parts = 1 << bits
     uri = urlparse(shared_folder(spark, "language-model"))
     if uri.scheme not in ("", "file"):
@@ -175,22 +224,22 @@ def fit(texts: DataFrame, text_col: str = "text") -> Model:
             yield from flush()
 
     def save_words(batches: Batches) -> Batches:
-        for part, (keys, counts) in _gather(batches, [np.uint64, np.uint32]).items():
-            keys, counts = _summed(keys, counts)
+        for part, keys, counts in _ranges(batches, lambda row: _plain(row, np.uint64)):
             _save(folder, "words", part, keys=keys, counts=counts.astype(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([len(keys)]), pa.array([int(counts.sum())])], ["part", "size", "total"])
 
-    words = texts.mapInArrow(count_words, "part long, keys binary, counts binary").repartition(parts, "part")
+    words = _dealt(texts.mapInArrow(count_words, "part long, keys binary, counts binary"), parts)
     sizes = np.zeros(parts, np.int64)
     tokens = 0
     for r in written(words.mapInArrow(save_words, "part long, size long, total long"), "word-sizes").collect():
         sizes[r["part"]] = r["size"]
         tokens += r["total"]
     offsets = tuple(np.concatenate([[0], np.cumsum(sizes)]).tolist())
-    model = Model(folder, bits, offsets, tokens)
+    # No bigram is counted more often than once for each token before it is added up.
+    model = Model(folder, bits, offsets, tokens, _bits(-(-tokens // RANGE)))
     if not tokens:
         return model
-    size = model.size
+    size, parts = model.size, 1 << model.pair_bits
 
     def count_pairs(batches: Batches) -> Batches:
         held, n_held = [], 0
@@ -217,13 +266,12 @@ def fit(texts: DataFrame, text_col: str = "text") -> Model:
 
     def save_pairs(batches: Batches) -> Batches:
         names = ["kind", "part", "a", "b"]
-        for part, rows in _gather_pairs(batches).items():
-            keys, counts = _summed(*rows)
+        for part, keys, counts in _ranges(batches, _run_lengths):
             first = model.part_start(part)
             u = (keys >> W32).astype(np.int64) - first
             width = model.part_start(part + 1) - first
             of = lambda mask, weight=None: np.bincount(u[mask], weight, width).astype(np.uint64)
-            _save(folder, "pairs", part, keys=keys, counts=counts.astype(np.uint32), total=of(slice(None), counts),
+            _save(folder, "pairs", part, keys=keys, counts=_fitting(counts), total=of(slice(None), counts),
                   n1=of(counts == 1), n2=of(counts == 2), n3=of(counts >= 3))
             yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([part]), pa.array([np.array(_of_counts(counts), np.int64).tobytes()], pa.binary()),
                                               pa.array([b""], pa.binary())], names)
@@ -233,22 +281,22 @@ def fit(texts: DataFrame, text_col: str = "text") -> Model:
                                                   pa.array([n[at].astype(np.uint32).tobytes()], pa.binary())], names)
 
     def save_words_after(batches: Batches) -> Batches:
-        for part, (w, n) in _gather(batches, [np.uint32, np.uint32]).items():
+        for part, w, n in _ranges(batches, lambda row: _plain(row, np.uint32)):
             first = model.part_start(part)
             after = np.bincount(w.astype(np.int64) - first, n, model.part_start(part + 1) - first).astype(np.uint64)
             _save(folder, "after", part, counts=after)
             yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([np.array(_of_counts(after), np.int64).tobytes()], pa.binary())], ["part", "n"])
 
-    pairs = texts.mapInArrow(count_pairs, "part long, u binary, n binary, w binary, c binary").repartition(parts, "part")
+    pairs = _dealt(texts.mapInArrow(count_pairs, "part long, u binary, n binary, w binary, c binary"), parts)
     saved = written(pairs.mapInArrow(save_pairs, "kind long, part long, a binary, b binary"), "pair-counts")
     of_pairs = sum((np.frombuffer(bytes(r["a"]), np.int64) for r in saved.where("kind = 0").select("a").collect()), np.zeros(5, np.int64))
-    after = saved.where("kind = 1").select("part", "a", "b").repartition(parts, "part")
+    after = _dealt(saved.where("kind = 1").select("part", "a", "b"), parts)
     after = written(after.mapInArrow(save_words_after, "part long, n binary"), "word-continuations")
     of_words = sum((np.frombuffer(bytes(r["n"]), np.int64) for r in after.select("n").collect()), np.zeros(5, np.int64))
     distinct = int(of_pairs[0] + of_pairs[1] + of_pairs[4])
     d = _discounts(of_words[:4].tolist())
     mass = float(np.dot(d, of_words[[0, 1, 4]]) / distinct)
-    return Model(folder, bits, offsets, tokens, _discounts(of_pairs[:4].tolist()), d, mass, distinct)
+    return Model(folder, bits, offsets, tokens, model.pair_bits, _discounts(of_pairs[:4].tolist()), d, mass, distinct)
 
 
 def _pairs(ids: np.ndarray, n: np.ndarray, begin: int) -> np.ndarray:
@@ -258,13 +306,10 @@ def _pairs(ids: np.ndarray, n: np.ndarray, begin: int) -> np.ndarray:
     return (before.astype(np.uint64) << W32) | ids.astype(np.uint64)
 
 
-def _gather_pairs(batches: Batches) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    got: dict[int, list] = {}
-    for batch in batches:
-        for i, part in enumerate(batch.column(0).to_pylist()):
-            u, n, w, c = (np.frombuffer(batch.column(k)[i].as_py(), np.uint32) for k in (1, 2, 3, 4))
-            got.setdefault(part, []).append(((np.repeat(u, n).astype(np.uint64) << W32) | w, c))
-    return {p: (np.concatenate([k for k, _ in rows]), np.concatenate([c for _, c in rows])) for p, rows in got.items()}
+def _run_lengths(row: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Bigrams and counts of a row that lists each context once."""
+    u, n, w, c = (np.frombuffer(x, np.uint32) for x in row)
+    return (np.repeat(u, n).astype(np.uint64) << W32) | w, c
 
 
 def token_scores(model: Model, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
