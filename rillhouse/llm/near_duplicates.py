@@ -2,10 +2,11 @@
 
 A text's set holds the hashes of its distinct word n-grams. All n-grams stand in one global order, rare before
 frequent: the leading byte is the frequency class (from a map of all texts' n-grams, of fixed size), the rest a hash.
-Class 0 has n-grams that are surely in one set only; they lead to no candidate and go no further.
+Class 0 has n-grams that are surely in one set only; they count for the size and lead to no candidate, and only a set's others are kept.
 1. Texts with equal sets form one class; all that follows works on classes.
 2. Two sets that are similar enough share an n-gram among their first few in the global order (prefix filter), and so
-   many of these that the rest cannot fall short (count filter).
+   many of these that the rest cannot fall short (count filter). A set also has a mark of ``MARK`` bits, one for each n-gram: sets differ in at least
+   as many n-grams as their marks differ in bits (difference filter). All three leave out only pairs that cannot link.
 3. A candidate pair's overlap is counted by vertical partitioning: the global order is cut into fragments, each class
    keeps one row of n-grams per fragment, the fragments' partial overlaps are counted apart and summed per pair.
 4. To link groups of thousands of near copies without all their pairs, candidates come step by step: first each
@@ -16,7 +17,8 @@ So components are those of all links, although not every link is checked.
 
 Two sets link when 100 * intersection >= threshold * union. Inputs: a null or empty text, or one without words, has an
 empty set and links with nothing. A null id is a text like others and never names a component; equal ids name the
-same document, each row keeps its own set. Only id and text are read. Hashes have 56 bits within a pair and 128 bits between
+same document, each row keeps its own set. Only id and text are read, and texts once for the map and once for their sets. An empty table
+gives no rows. Hashes have 56 bits within a pair and 128 bits between
 classes, so wrong matches are as good as impossible.
 """
 
@@ -41,8 +43,10 @@ HELD = 1 << 21
 #: Further rounds with one partner per class, before all candidates that are left are checked.
 ROUNDS = 2
 LOW = np.uint64((1 << 56) - 1)
-#: Fragments of the global order: the frequency class and two more bits.
-FRAGMENT_BITS = 54
+#: Fragments of the global order are the frequency classes.
+FRAGMENT_BITS = 56
+#: Bits of a set's mark.
+MARK = 256
 #: Ids of candidate classes up to this number are broadcast to pick their texts; beyond, both sides are shuffled.
 BROADCAST_ROWS = 500_000
 
@@ -102,11 +106,19 @@ def frequency_classes(texts: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]
 
     parts = texts.mapInArrow(spread, "block long, n long, steps binary").repartition(BLOCKS, "block")
     twice, levels = np.zeros((BLOCKS, width // 8), np.uint8), np.ones((BLOCKS, width >> GROUP_BITS), np.uint8)
-    for r in parts.mapInArrow(add, "block long, twice binary, levels binary").collect():  # the map's fixed size, 40 MB
-        twice[r["block"]], levels[r["block"]] = np.frombuffer(bytes(r["twice"]), np.uint8), np.frombuffer(bytes(r["levels"]), np.uint8)
+    counted = written(parts.mapInArrow(add, "block long, twice binary, levels binary"), "n-gram-map")
+    for start in range(0, BLOCKS, 8):  # the map's fixed size, 40 MB, a few parts at a time
+        for r in counted.where(F.col("block").between(start, start + 7)).collect():
+            twice[r["block"]], levels[r["block"]] = np.frombuffer(r["twice"], np.uint8), np.frombuffer(r["levels"], np.uint8)
     return twice.reshape(-1), levels.reshape(-1)
 
 
+def _mark(s: np.ndarray) -> list[int]:
+    bits = np.zeros(MARK, bool)
+    bits[(s & np.uint64(MARK - 1)).astype(np.int64)] = True
+    return np.packbits(bits).view(np.int64).tolist()
+
+
 def _ordered(s: np.ndarray, classes: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """A set in the global order, as numbers that sort by it. Those below 2 ** 56 are in no other set."""
     twice, levels = classes
@@ -119,27 +131,33 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
                          text_col: str = "text") -> DataFrame:
     """(id, set size, component id) of each row; the component's id is the smallest id its links reach."""
     spark = ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    some = F.coalesce("text", F.lit(b"")).alias("text")
-    levels = spark.sparkContext.broadcast(frequency_classes(rows.select(some), n))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
+    levels = spark.sparkContext.broadcast(frequency_classes(rows.select("text"), n))
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            size, sign, prefix = [], [], []
-            for s in _sets(texts, n):
+            size, sign, prefix, mark, shared = [], [], [], [], []
+            for s in _sets(batch.column(2).to_pylist(), n):
                 s = _ordered(s, levels.value)
                 size.append(len(s))
                 sign.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 few = s[:len(s) + (threshold * len(s)) // -100 + 1 if len(s) else 0]
                 prefix.append(few[few > LOW].astype(np.int64))
+                mark.append(_mark(s))
+                shared.append(s[s > LOW].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(size, pa.int64()), pa.array(sign, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))],
-                ["id", "size", "sign", "prefix"])
+                [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(sign, pa.binary()), pa.array(prefix, pa.list_(pa.int64())),
+                 pa.array(mark, pa.list_(pa.int64())), pa.array(shared, pa.binary())],
+                ["row", "id", "size", "sign", "prefix", "mark", "shared"])
 
-    found = written(rows.select("id", some).mapInArrow(classify, "id long, size long, sign binary, prefix array<long>"), "sets")
-    classes = found.where("size > 0").groupBy("sign").agg(F.min("id").alias("first_id"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "id", "text")
+    found = written(numbered.mapInArrow(classify, "row long, id long, size long, sign binary, prefix array<long>, mark array<long>, shared binary"), "sets")
+    levels.destroy()  # all that needed it is written
+    # A class is stood for by one of its rows.
+    classes = found.where("size > 0").groupBy("sign").agg(F.min("id").alias("first_id"), F.min("row").alias("node"), F.first("size").alias("size"),
+                                                          F.first("prefix").alias("prefix"), F.first("mark").alias("mark"))
+    classes = written(classes, "classes")
+    sets = found.select(F.col("row").alias("node"), "shared")
 
     # Dealt by n-gram once, for the counts and for the join with them.
     postings = classes.select("node", "size", F.explode("prefix").alias("gram")).repartition("gram")
@@ -149,8 +167,8 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
 
     first = postings.where("node <> pivot.node").groupBy(F.col("node").alias("a"), F.col("pivot.node").alias("b")).agg(
         F.count("*").alias("common"), F.first(F.least("size", "pivot.size")).alias("low"), F.first(F.greatest("size", "pivot.size")).alias("high"))
-    first = first.where(_may_link(threshold)).groupBy("a").agg(F.max_by("b", F.struct("common", -F.col("b"))).alias("b"))
-    links = _verified(first, rows, classes, n, threshold, levels)
+    first = _alike(first.where(_may_link(threshold)), classes, threshold).groupBy("a").agg(F.max_by("b", F.struct("common", -F.col("b"))).alias("b"))
+    links = _verified(first, sets, classes, threshold)
     roots = written(components(links), "roots")
 
     placed = grams.join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -160,8 +178,8 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
         pivots = placed.groupBy("gram").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "size", "root")).alias("p"))
         near = placed.join(pivots, "gram").where("root <> p.root").groupBy(F.col("node").alias("a"), F.col("p.node").alias("b")).agg(
             F.count("*").alias("common"), F.first(F.least("size", "p.size")).alias("low"), F.first(F.greatest("size", "p.size")).alias("high"))
-        near = near.where(_may_link(threshold)).groupBy("a").agg(F.max_by("b", F.struct("common", -F.col("b"))).alias("b"))
-        links = links.unionAll(_verified(near, rows, classes, n, threshold, levels))
+        near = _alike(near.where(_may_link(threshold)), classes, threshold).groupBy("a").agg(F.max_by("b", F.struct("common", -F.col("b"))).alias("b"))
+        links = links.unionAll(_verified(near, sets, classes, threshold))
         roots = written(components(links), "roots")
         placed = placed.drop("root").join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
         placed = written(placed.select("gram", "node", "size", "root"), "placed")
@@ -175,9 +193,8 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
         (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("main")) | (F.col("a") < F.col("b"))) & (100 * low >= threshold * high))
     pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
         F.count("*").alias("common"), F.first(low).alias("low"), F.first(high).alias("high"))
-    more = _verified(pairs.where(_may_link(threshold)).select("a", "b"), rows, classes, n, threshold, levels)
+    more = _verified(_alike(pairs.where(_may_link(threshold)), classes, threshold).select("a", "b"), sets, classes, threshold)
     roots = components(links.unionAll(more))
-    levels.destroy()  # all that needed it is written
 
     named = classes.join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
@@ -196,38 +213,40 @@ def _may_link(threshold: int):
     return (F.col("common") + beyond >= need) & (100 * F.col("low") >= threshold * F.col("high"))
 
 
+def _alike(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) whose marks do not differ in too many bits."""
+    marks = classes.select("node", "mark", F.col("size").alias("s"))
+    both = pairs.join(marks.toDF("a", "mark_a", "s_a"), "a").join(marks.toDF("b", "mark_b", "s_b"), "b")
+    differ = F.aggregate(F.zip_with("mark_a", "mark_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    total = F.col("s_a") + F.col("s_b")
+    return both.where((100 + threshold) * (total - differ) >= 2 * threshold * total).select(*pairs.columns)
+
+
 def _small(df: DataFrame) -> DataFrame:
     """Marked for broadcast if it has at most ``BROADCAST_ROWS`` rows; changes the plan only."""
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, threshold: int, levels) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) of classes that are similar enough, by summed overlaps of fragments."""
     pairs = written(pairs, "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    # A class's set is made again from one of its texts: the one with the smallest id.
-    wanted = written(classes.join(wanted, "node").select("node", "sign", F.col("first_id").alias("id")), "wanted")
-    wanted = wanted.withColumn("id", F.coalesce("id", F.lit(-1)))
-    texts = rows.withColumn("id", F.coalesce("id", F.lit(-1))).where("text IS NOT NULL").join(_small(wanted), "id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for node, sign, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _sets(batch.column(2).to_pylist(), n)):
-                s = _ordered(s, levels.value)
-                if xxhash.xxh3_128_digest(s.tobytes()) != sign:
-                    continue  # another text with the same id
+            for node, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                s = np.frombuffer(data.as_buffer(), np.uint64)
                 part, at = np.unique(s >> np.uint64(FRAGMENT_BITS), return_index=True)
                 out += [(node, int(p), x.astype(np.int64)) for p, x in zip(part, np.split(s, at[1:]))]
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
                                               pa.array([o[2] for o in out], pa.list_(pa.int64()))], ["node", "part", "grams"])
 
-    parts = texts.select("node", "sign", "text").mapInArrow(cut, "node long, part long, grams array<long>")
+    parts = sets.join(_small(wanted), "node").select("node", "shared").mapInArrow(cut, "node long, part long, grams array<long>")
     parts = written(parts, "fragments")
     left, right = (parts.select(F.col("node").alias(c), "part", F.col("grams").alias(f"grams_{c}")) for c in "ab")
     both = pairs.join(left, "a").join(right, ["b", "part"])
-    # Rows may repeat an id with its text, so each fragment counts once.
-    partial = both.select("a", "b", "part", F.size(F.array_intersect("grams_a", "grams_b")).alias("n")).groupBy("a", "b", "part").agg(F.max("n").alias("n"))
+    partial = both.select("a", "b", F.size(F.array_intersect("grams_a", "grams_b")).alias("n"))
     overlap = partial.groupBy("a", "b").agg(F.sum("n").alias("overlap"))
     sizes = classes.select("node", "size")
     overlap = overlap.join(sizes.select(F.col("node").alias("a"), F.col("size").alias("sa")), "a").join(

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tokenizers
@@ -143,6 +144,27 @@ def test_near_duplicates(spark):
     assert sorted(map(tuple, got)) == brute_groups(rows, 4, 85)
 
 
+def test_near_duplicates_without_ids_and_with_repeated_ones(spark):
+    """Rows without id are members like others; one id with two texts is two members."""
+    base = " ".join(f"word{i}" for i in range(60)) + " "
+    rows = [(None, base + f"x{i}") for i in range(3)] + [(7, base + "x1"), (7, "quite another text of a few words"), (9, base + "x9"),
+                                                        (5, "quite another text of a few words"), (None, "quite another text of a few words"), (None, None)]
+    df = spark.createDataFrame([(*r, 1, "s") for r in rows], "doc_id long, text string, node int, sign string")
+    got = sorted(map(tuple, near_duplicates.link_near_duplicates(df, 4, 85).select("doc_id", "component_id").collect()), key=str)
+    assert got == sorted([(None, 7)] * 3 + [(7, 7), (7, 5), (9, 7), (5, 5), (None, 5), (None, None)], key=str)
+    assert near_duplicates.link_near_duplicates(df.limit(0)).collect() == []
+
+
+def test_difference_filter_keeps_all_links():
+    dice = np.random.default_rng(3)
+    for _ in range(300):
+        a = dice.choice(2000, dice.integers(1, 400), replace=False).astype(np.uint64)
+        b = np.concatenate([a[: dice.integers(0, len(a) + 1)], dice.choice(2000, dice.integers(0, 60)).astype(np.uint64)])
+        a, b = np.unique(a), np.unique(b)
+        bits = sum(bin((x ^ y) & (2 ** 64 - 1)).count("1") for x, y in zip(near_duplicates._mark(a), near_duplicates._mark(b)))
+        assert len(np.setxor1d(a, b)) >= bits
+
+
 def test_exact_search(spark):
     dice = random.Random(3)
     vectors = [[dice.uniform(-1, 1) for _ in range(8)] for _ in range(150)] + [None, [], [1.0, None] * 4, [float("nan")] * 8, [0.0] * 8, [1.0, 2.0]]
