@@ -38,8 +38,8 @@ from rillhouse.llm.words import chunks, hashed_words, shingles
 
 #: The map of n-grams has 2 ** MAP_BITS places, summed in BLOCKS parts; 2 ** GROUP_BITS neighbouring places share a frequency class.
 MAP_BITS, GROUP_BITS, BLOCKS = 28, 5, 64
-#: N-grams that a task holds before it sends their places.
-HELD = 1 << 21
+#: N-grams that a task holds before it sends their places, and rows it turns into sets at a time.
+HELD, ROWS = 1 << 20, 512
 #: Further rounds with one partner per class, before all candidates that are left are checked.
 ROUNDS = 2
 LOW = np.uint64((1 << 56) - 1)
@@ -51,6 +51,14 @@ MARK = 256
 BROADCAST_ROWS = 500_000
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most ``ROWS`` at a time; what Arrow holds beyond that goes back to the system between batches."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+        pa.default_memory_pool().release_unused()
+
+
 def _sets(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
     for _, part in chunks(texts):
         h, have = shingles(*hashed_words(part), n)
@@ -79,7 +87,7 @@ def frequency_classes(texts: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size = [], 0
-        for batch in batches:
+        for batch in _few(batches):
             for s in _sets(batch.column(0).to_pylist(), n):
                 waiting.append(s)
                 size += len(s)
@@ -135,7 +143,7 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
     levels = spark.sparkContext.broadcast(frequency_classes(rows.select("text"), n))
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             size, sign, prefix, mark, shared = [], [], [], [], []
             for s in _sets(batch.column(2).to_pylist(), n):
                 s = _ordered(s, levels.value)
@@ -233,7 +241,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, classes: DataFrame, threshold:
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             out = []
             for node, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 s = np.frombuffer(data.as_buffer(), np.uint64)
