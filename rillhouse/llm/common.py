@@ -35,6 +35,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffles and broadcasts of finished rounds now: it does so once the driver has collected what named them,
+    which is seldom in jobs of many small rounds."""
+    spark._jvm.System.gc()
+
+
 def lower_ascii(text):
     """A-Z in lower case, all else unchanged."""
     return F.translate(text, UPPER, LOWER)

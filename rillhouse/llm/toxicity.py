@@ -8,7 +8,7 @@ in a long text as in a short one. Training learns vectors and softmax together b
 each round takes a toxic text's worst passage so far as the example, and a clean text's two worst passages and four
 random ones; the first examples are picked by the log odds of words' document counts. Some words of the examples are misspelt at random.
 
-The model is fitted on the driver from at most ``SAMPLE_ROWS`` labelled texts per class, picked by a hash of
+The model is fitted in one task from at most ``SAMPLE_ROWS`` labelled texts per class, picked by a hash of
 the id. It is about ``2 ** BITS * WIDTH`` numbers, folded into one number per bucket before it is sent to workers.
 
 Inputs: a null or empty text has no passage and gets the score of an empty bag, the softmax's bias. Rows repeat as
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import map_rows, ship
+from rillhouse.llm.common import map_rows, ship, written
 
 #: Labelled texts of each class that training sees at most.
 SAMPLE_ROWS = 1800
@@ -123,7 +123,20 @@ def calibrated(model: Model, texts: list[tuple[str, int]]) -> Model:
     return Model(model.weights, model.bias - float(logit[best] + logit[best + 1]) / 2)
 
 
-def fit(texts: list[tuple[str, int]]) -> Model:
+def fit(examples: DataFrame) -> Model:
+    """The model of a sample. One task reads and trains on it; only weights reach the driver."""
+    ship(examples.sparkSession)
+
+    def learn(batches):
+        texts = [(t, y) for batch in batches for t, y in zip(batch.column("t").to_pylist(), batch.column("y").to_pylist())]
+        model = fit_texts(texts)
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([float(model.bias)])], ["weights", "bias"])
+
+    row = examples.select("t", "y").coalesce(1).mapInArrow(learn, "weights binary, bias double").first()  # 4 * 2 ** BITS bytes
+    return Model(np.frombuffer(row["weights"], np.float32), row["bias"]) if row else Model(np.zeros(1 << BITS, np.float32), 0.0)
+
+
+def fit_texts(texts: list[tuple[str, int]]) -> Model:
     """Trained on five sixths of the (text, label) pairs, calibrated on the rest if it has enough of both classes."""
     held = [t for i, t in enumerate(texts) if i % 6 == 0]
     if min(sum(y == c for _, y in held) for c in (0, 1)) < MIN_HELD:
@@ -228,8 +241,8 @@ class Scorer:
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           label_col: str = "toxic", rows: int = SAMPLE_ROWS, keep=None) -> list[tuple[str, int]]:
-    """At most ``rows`` texts of each class with their labels; ``keep`` is a condition on column ``k``, the id."""
+           label_col: str = "toxic", rows: int = SAMPLE_ROWS, keep=None) -> DataFrame:
+    """(t, y): at most ``rows`` texts of each class with their labels, written; ``keep`` is a condition on column ``k``, the id."""
     known = labels.select(F.col(id_col).alias("k"), F.col(label_col).cast("int").alias("y"))
     known = known.where(F.col("k").isNotNull() & F.col("y").isin(0, 1))
     known = known if keep is None else known.where(keep)
@@ -238,8 +251,8 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         one = known.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(rows)
         picked = one if picked is None else picked.unionAll(one)
     texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).where("t IS NOT NULL")
-    found = texts.join(F.broadcast(picked), "k").orderBy(F.xxhash64("k"), "k", "t").limit(2 * rows).collect()
-    return [(r["t"], r["y"]) for r in found]
+    found = texts.join(F.broadcast(picked), "k").orderBy(F.xxhash64("k"), "k", "t").limit(2 * rows)
+    return written(found.select("t", "y").coalesce(1), "toxicity-sample")
 
 
 def scores_of(model: Model, texts: list[str | None]) -> list[float]:

@@ -218,11 +218,11 @@ def test_toxicity_held_out(spark):
             for _ in range(3):
                 w[dice.randrange(len(w))] = dice.choice(["vilewretch", "grubby", "odious"])
         texts.append((" ".join(w), i % 2))
-    scorer = toxicity.Scorer(toxicity.fit(texts[:480]))
+    scorer = toxicity.Scorer(toxicity.fit(spark.createDataFrame(texts[:480], "t string, y int")))
     right = sum((s >= 0.5) == bool(y) for s, (_, y) in zip(scorer.scores([t for t, _ in texts[480:]]), texts[480:]))
     assert right >= 115
     assert scorer.scores(["odiouss taro rota"])[0] > scorer.scores(["taro rota"])[0]
-    none = toxicity.fit([])
+    none = toxicity.fit(spark.createDataFrame([], "t string, y int"))
     assert [r["score"] for r in toxicity.score_toxicity(texts_frame(spark, ODD), none).collect()] == [0.5] * (len(ODD) + 2)
 
 
