@@ -192,16 +192,20 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
         placed = placed.drop("root").join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
         placed = written(placed.select("gram", "node", "size", "root"), "placed")
     most = placed.groupBy("gram", "root").agg(F.count("*").alias("n")).groupBy("gram").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    placed = placed.join(most, "gram")
-    # Each pair has a side outside the n-gram's largest component; if both are, the smaller node comes first.
-    outside = placed.where("root <> main").select("gram", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"))
-    other = placed.select("gram", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"), "main")
+    placed = placed.join(most, "gram").join(classes.select("node", "mark"), "node")
+    # Each pair has a side outside the n-gram's largest component; if both are, the smaller node comes first. Sets whose marks differ too much
+    # do not pair, so a group of texts that are alike, but not enough, gives no rows.
+    outside = placed.where("root <> main").select("gram", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"), *_words("mark_a"))
+    other = placed.select("gram", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"), "main", *_words("mark_b"))
     low, high = F.least("sa", "sb"), F.greatest("sa", "sb")
+    differ = sum((F.bit_count(F.col(f"mark_a{i}").bitwiseXOR(F.col(f"mark_b{i}"))) for i in range(1, MARK // 64)),
+                 F.bit_count(F.col("mark_a0").bitwiseXOR(F.col("mark_b0"))))
     pairs = outside.join(other, "gram").where(
-        (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("main")) | (F.col("a") < F.col("b"))) & (100 * low >= threshold * high))
+        (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("main")) | (F.col("a") < F.col("b"))) & (100 * low >= threshold * high)
+        & _near_enough(low + high, differ, threshold))
     pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
         F.count("*").alias("common"), F.first(low).alias("low"), F.first(high).alias("high"))
-    more = _verified(_alike(pairs.where(_may_link(threshold)), classes, threshold).select("a", "b"), sets, classes, threshold)
+    more = _verified(pairs.where(_may_link(threshold)).select("a", "b"), sets, classes, threshold)
     roots = components(links.unionAll(more))
 
     named = classes.join(roots, "node", "left")
@@ -226,8 +230,17 @@ def _alike(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     marks = classes.select("node", "mark", F.col("size").alias("s"))
     both = pairs.join(marks.toDF("a", "mark_a", "s_a"), "a").join(marks.toDF("b", "mark_b", "s_b"), "b")
     differ = F.aggregate(F.zip_with("mark_a", "mark_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    total = F.col("s_a") + F.col("s_b")
-    return both.where((100 + threshold) * (total - differ) >= 2 * threshold * total).select(*pairs.columns)
+    return both.where(_near_enough(F.col("s_a") + F.col("s_b"), differ, threshold)).select(*pairs.columns)
+
+
+def _near_enough(total, differ, threshold: int):
+    """The difference filter: sets with ``total`` n-grams together, of which at least ``differ`` are in one of them only."""
+    return (100 + threshold) * (total - differ) >= 2 * threshold * total
+
+
+def _words(name: str) -> list:
+    """The mark as one column for each 64 bits."""
+    return [F.col("mark")[i].alias(f"{name}{i}") for i in range(MARK // 64)]
 
 
 def _small(df: DataFrame) -> DataFrame:
