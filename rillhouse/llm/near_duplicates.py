@@ -10,8 +10,8 @@ Class 0 has n-grams that are surely in one set only; they count for the size and
 3. A candidate pair's overlap is counted by vertical partitioning: the global order is cut into fragments, each class
    keeps one row of n-grams per fragment, the fragments' partial overlaps are counted apart and summed per pair.
 4. To link groups of thousands of near copies without all their pairs, candidates come step by step: first each
-   class with one partner, the one that shares most with it among one class for each of its n-grams; this is done
-   1 + ROUNDS times, with other such classes. Then all
+   class with one partner, that whose mark differs least among one class for each of its n-grams; this is done
+   again with other such classes while it finds links, 1 + ROUNDS times at most. Then all
    candidates whose classes are still in different components. A pair that is left out lies within one component.
 So components are those of all links, although not every link is checked.
 
@@ -40,8 +40,8 @@ from rillhouse.llm.words import chunks, hashed_words, shingles
 MAP_BITS, GROUP_BITS, BLOCKS = 28, 5, 64
 #: N-grams that a task holds before it sends their places, and rows it turns into sets at a time.
 HELD, ROWS = 1 << 20, 512
-#: Further rounds with one partner per class, before all candidates that are left are checked.
-ROUNDS = 2
+#: Further rounds with one partner per class at most, before all candidates that are left are checked; they end with one that finds no link.
+ROUNDS = 6
 LOW = np.uint64((1 << 56) - 1)
 #: Fragments of the global order are the frequency classes.
 FRAGMENT_BITS = 56
@@ -175,7 +175,7 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
 
     first = postings.where("node <> pivot.node").groupBy(F.col("node").alias("a"), F.col("pivot.node").alias("b")).agg(
         F.count("*").alias("common"), F.first(F.least("size", "pivot.size")).alias("low"), F.first(F.greatest("size", "pivot.size")).alias("high"))
-    first = _alike(first.where(_may_link(threshold)), classes, threshold).groupBy("a").agg(F.max_by("b", F.struct("common", -F.col("b"))).alias("b"))
+    first = _alike(first.where(_may_link(threshold)), classes, threshold).groupBy("a").agg(F.min_by("b", F.struct("differ", -F.col("common"), "b")).alias("b"))
     links = _verified(first, sets, classes, threshold)
     roots = written(components(links), "roots")
 
@@ -186,8 +186,11 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
         pivots = placed.groupBy("gram").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "size", "root")).alias("p"))
         near = placed.join(pivots, "gram").where("root <> p.root").groupBy(F.col("node").alias("a"), F.col("p.node").alias("b")).agg(
             F.count("*").alias("common"), F.first(F.least("size", "p.size")).alias("low"), F.first(F.greatest("size", "p.size")).alias("high"))
-        near = _alike(near.where(_may_link(threshold)), classes, threshold).groupBy("a").agg(F.max_by("b", F.struct("common", -F.col("b"))).alias("b"))
-        links = links.unionAll(_verified(near, sets, classes, threshold))
+        near = _alike(near.where(_may_link(threshold)), classes, threshold).groupBy("a").agg(F.min_by("b", F.struct("differ", -F.col("common"), "b")).alias("b"))
+        new = _verified(near, sets, classes, threshold)
+        if new.limit(1).count() == 0:
+            break
+        links = links.unionAll(new)
         roots = written(components(links), "roots")
         placed = placed.drop("root").join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
         placed = written(placed.select("gram", "node", "size", "root"), "placed")
@@ -230,7 +233,7 @@ def _alike(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     marks = classes.select("node", "mark", F.col("size").alias("s"))
     both = pairs.join(marks.toDF("a", "mark_a", "s_a"), "a").join(marks.toDF("b", "mark_b", "s_b"), "b")
     differ = F.aggregate(F.zip_with("mark_a", "mark_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    return both.where(_near_enough(F.col("s_a") + F.col("s_b"), differ, threshold)).select(*pairs.columns)
+    return both.where(_near_enough(F.col("s_a") + F.col("s_b"), differ, threshold)).select(*pairs.columns, differ.alias("differ"))
 
 
 def _near_enough(total, differ, threshold: int):
