@@ -41,7 +41,7 @@ MAP_BITS, GROUP_BITS, BLOCKS = 28, 5, 64
 #: N-grams that a task holds before it sends their places, and rows it turns into sets at a time.
 HELD, ROWS = 1 << 20, 512
 #: Further rounds with one partner per class at most, before all candidates that are left are checked; they end with one that finds no link.
-ROUNDS = 6
+ROUNDS = 2
 LOW = np.uint64((1 << 56) - 1)
 #: Fragments of the global order are the frequency classes.
 FRAGMENT_BITS = 56
