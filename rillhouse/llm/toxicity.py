@@ -6,7 +6,9 @@ passage are averaged and enter a softmax of two classes. Long texts are covered
 ``PASSAGE`` words, each starting at most half a passage after the one before, so that a phrase of half a passage is whole in one; their bags padded with zero vectors to that size, and a text's score is that of its worst passage: a few words then count as much
 in a long text as in a short one. Training learns vectors and softmax together by stochastic gradients;
 each round takes a toxic text's worst passage so far as the example, and a clean text's two worst passages and four
-random ones; the first examples are picked by the log odds of words' document counts. Some words of the examples are misspelt at random.
+random ones; the first examples are picked by the likelihood ratio of words' document counts. Some words of the examples are misspelt
+at random, and both classes weigh the same. Buckets that a single training text touches say nothing, as rare words would only be learnt by heart.
+The bias is set by the scores of models that did not see the texts they score, each trained without a third of them.
 
 The model is fitted in one task from at most ``SAMPLE_ROWS`` labelled texts per class, picked by a hash of
 the id. It is about ``2 ** BITS * WIDTH`` numbers, folded into one number per bucket before it is sent to workers.
@@ -31,13 +33,17 @@ from rillhouse.llm.common import map_rows, ship, written
 
 #: Labelled texts of each class that training sees at most.
 SAMPLE_ROWS = 1800
-#: Held-back texts of each class that calibration needs.
-MIN_HELD = 10
+#: Parts of the labelled texts that calibration leaves out in turn, and what a flagged clean text costs it.
+FOLDS, FALSE_COST, PRIOR_TEXTS = 3, 3, 20
 PASSAGE = 8
 BITS, WIDTH = 20, 8
 NGRAMS = (3, 4, 5)
-ROUNDS, BATCH, RATE = 14, 96, 0.5
+#: Training ends after a round, but the first few, whose mean loss is below ``LOW_LOSS``: few texts take more rounds.
+ROUNDS, MOST_ROUNDS, LOW_LOSS = 8, 60, 0.03
+BATCH, RATE = 96, 0.5
 MISSPELT, DECAY = 0.15, 0.001
+#: Training texts that must share a bucket for it to count.
+MIN_TEXTS = 2
 #: Words whose value a Python worker remembers.
 CACHED_WORDS = 300_000
 #: Texts whose words are held at the same time.
@@ -110,17 +116,18 @@ class Model:
         return np.add.reduceat(self.weights[flat].astype(float), np.cumsum(size) - size) / size
 
 
-def calibrated(model: Model, texts: list[tuple[str, int]]) -> Model:
-    """The model with its bias moved so that a score of 0.5 parts the classes of held-back texts with the
-    fewest errors, in the middle of the widest such gap."""
-    p = np.clip(np.array(Scorer(model).scores([t for t, _ in texts])), 1e-12, 1 - 1e-12)
-    y = np.array([label for _, label in texts])
+def calibrated(model: Model, scored: list[tuple[float, int]]) -> Model:
+    """The model with its bias moved so that 0.5 stands where (score, label) pairs of unseen texts part at the least cost:
+    the share of toxic texts missed and ``FALSE_COST`` times the share of clean ones flagged. With n texts of the
+    smaller class it moves n / (n + ``PRIOR_TEXTS``) of the way, as few texts place it badly."""
+    p = np.clip(np.array([x for x, _ in scored]), 1e-12, 1 - 1e-12)
     order = np.argsort(p, kind="stable")
-    logit, y = np.log(p / (1 - p))[order], y[order]
-    errors = np.cumsum(y)[:-1] + np.cumsum((1 - y)[::-1])[::-1][1:]
-    gap = np.where(errors == errors.min(), np.diff(logit), -1)
+    logit, y = np.log(p / (1 - p))[order], np.array([label for _, label in scored])[order]
+    cost = np.cumsum(y)[:-1] / y.sum() + FALSE_COST * np.cumsum((1 - y)[::-1])[::-1][1:] / (1 - y).sum()
+    gap = np.where(np.isclose(cost, cost.min()), np.diff(logit), -1)  # of equal costs, the widest gap
     best = int(gap.argmax())
-    return Model(model.weights, model.bias - float(logit[best] + logit[best + 1]) / 2)
+    n = min(y.sum(), (1 - y).sum())
+    return Model(model.weights, model.bias - float(logit[best] + logit[best + 1]) / 2 * float(n / (n + PRIOR_TEXTS)))
 
 
 def fit(examples: DataFrame) -> Model:
@@ -137,11 +144,20 @@ def fit(examples: DataFrame) -> Model:
 
 
 def fit_texts(texts: list[tuple[str, int]]) -> Model:
-    """Trained on five sixths of the (text, label) pairs, calibrated on the rest if it has enough of both classes."""
-    held = [t for i, t in enumerate(texts) if i % 6 == 0]
-    if min(sum(y == c for _, y in held) for c in (0, 1)) < MIN_HELD:
-        return train(texts)
-    return calibrated(train([t for i, t in enumerate(texts) if i % 6]), held)
+    """Trained on all (text, label) pairs. For calibration, each of ``FOLDS`` parts is scored by a model that did not see it,
+    however few texts there are."""
+    if len({y for _, y in texts}) < 2:
+        return Model(np.zeros(1 << BITS, np.float32), 0.0)
+    fold, seen = [], [0, 0]  # each class is dealt in turn
+    for _, y in texts:
+        fold.append(seen[y] % FOLDS)
+        seen[y] += 1
+    unseen = []
+    for f in range(FOLDS):
+        held = [t for t, k in zip(texts, fold) if k == f]
+        scorer = Scorer(train([t for t, k in zip(texts, fold) if k != f]))
+        unseen += zip(scorer.scores([t for t, _ in held]), [y for _, y in held])
+    return calibrated(train(texts), unseen)
 
 
 def train(texts: list[tuple[str, int]], seed: int = 7) -> Model:
@@ -165,11 +181,22 @@ def train(texts: list[tuple[str, int]], seed: int = 7) -> Model:
     soft, bias = rng.normal(0, 0.1, (WIDTH, 2)).astype(np.float32), np.zeros(2, np.float32)
     seen = np.full(1 << BITS, 1e-3, np.float32)
     seen_soft, seen_bias = np.full_like(soft, 1e-3), np.full_like(bias, 1e-3)
-    # The first passages are picked by the log odds of words' document counts in both classes.
+    # The first passages are picked by the likelihood ratio of words' document counts in both classes: words of
+    # one text say little, however few toxic texts there are.
     counts = [sum((np.bincount(np.unique(i), minlength=first) for i, c in zip(ids, y) if c == k), np.zeros(first)) for k in (0, 1)]
-    odds = np.log((counts[1] + 0.5) / (sum(y == 1) + 1)) - np.log((counts[0] + 0.5) / (sum(y == 0) + 1))
-    value = np.maximum(odds, 0) ** 2
-    for turn in range(ROUNDS):
+    both_n, share = counts[0] + counts[1], y.mean()
+    part = np.clip(counts[1] / both_n, 1e-12, 1 - 1e-12)
+    ratio = counts[1] * np.log(part / share) + counts[0] * np.log((1 - part) / (1 - share))
+    value = np.where(part > share, ratio, 0) ** 2
+    # A bucket that a single text touches would only learn that text by heart: its vector stays zero.
+    texts_n = np.zeros(1 << BITS, np.int32)
+    for i in ids:
+        u = np.unique(i)
+        n = parts_n[u]
+        texts_n[np.unique(parts[np.repeat(parts_at[u] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())])] += 1
+    common = texts_n >= MIN_TEXTS
+    table[~common] = 0
+    for turn in range(MOST_ROUNDS):
         if turn:
             value = (np.add.reduceat((table @ (soft[:, 1] - soft[:, 0]))[parts], parts_at) / parts_n)[:first]
         examples = []
@@ -181,6 +208,8 @@ def train(texts: list[tuple[str, int]], seed: int = 7) -> Model:
             for k in worst[:1] if y[d] else sorted({*worst, *rng.integers(len(s), size=4).tolist()}):
                 examples.append((d, np.unique(ids[d][s[k]:s[k] + size[k]])))
         dice.shuffle(examples)
+        loss, n_of = 0.0, np.bincount([y[d] for d, _ in examples], minlength=2)
+        heavy = len(examples) / (2 * n_of)  # both classes weigh the same
         for at in range(0, len(examples), BATCH):
             batch = examples[at:at + BATCH]
             rows = np.concatenate([w for _, w in batch])
@@ -197,22 +226,27 @@ def train(texts: list[tuple[str, int]], seed: int = 7) -> Model:
             logit = bagged @ soft + bias
             p = np.exp(logit - logit.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
+            worth = heavy[label]
+            loss -= float((worth * np.log(np.maximum(p[np.arange(len(batch)), label], 1e-12))).sum())
             p[np.arange(len(batch)), label] -= 1
-            g = p / len(batch)
+            g = p * worth[:, None] / len(batch)
             g_soft, g_bias, g_bag = bagged.T @ g, g.sum(0), g @ soft.T
             g_part = np.repeat(np.repeat(g_bag / padded[:, None], length, axis=0) / n[:, None], n, axis=0)
             touched, back = np.unique(flat, return_inverse=True)
             g_table = np.stack([np.bincount(back, g, len(touched)) for g in g_part.T], axis=1).astype(np.float32)
+            g_table *= common[touched, None]
             seen[touched] += (g_table ** 2).sum(1)
             table[touched] = table[touched] * (1 - DECAY) - RATE * g_table / np.sqrt(seen[touched])[:, None]
             seen_soft += g_soft ** 2
             seen_bias += g_bias ** 2
             soft -= RATE * g_soft / np.sqrt(seen_soft)
             bias -= RATE * g_bias / np.sqrt(seen_bias)
-    # Buckets no training word touched say nothing.
+        if turn + 1 >= ROUNDS and loss / len(examples) < LOW_LOSS:
+            break
+    # Buckets that no training word, or only one text, touched say nothing.
     used = np.zeros(1 << BITS, bool)
     used[parts] = True
-    weights = np.where(used, table @ (soft[:, 1] - soft[:, 0]), 0).astype(np.float32)
+    weights = np.where(used & common, table @ (soft[:, 1] - soft[:, 0]), 0).astype(np.float32)
     return Model(weights, float(bias[1] - bias[0]))
 
 
