@@ -23,6 +23,7 @@ from rillhouse.plans import bands
 from rillhouse.plans import facts as PF
 from rillhouse.plans import routing as PR
 from rillhouse.plans import traffic as PT
+from rillhouse.session import disk_state
 from rillhouse.streaming import facts as SF
 from rillhouse.streaming.sinks import append_sink, batch_sink, upsert_sink, window_sink
 from rillhouse.streaming.tables import BatchTable, append_batch
@@ -143,7 +144,8 @@ def dws_keyword(pages: DataFrame, path: str, checkpoint: str, once: bool = False
 
 
 def dws_traffic(pages: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    return window_sink(SF.traffic_stream(pages), path, checkpoint, once=once)
+    with disk_state(pages.sparkSession):
+        return window_sink(SF.traffic_stream(pages), path, checkpoint, once=once)
 
 
 def dws_home_detail(pages: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,9 @@ VISIT_BUCKETS = 64
 DAY_MS = 86_400_000
 # Days of one device whose state is one value, a bit for each.
 SPAN = 32
+# Workers get what they run of this module by value, as they need not have the package. Files added to the session do not reach all of
+# them: a stateful step is first set up by a worker on the driver that has none of these.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def visits_table(state: str, **sizes: int) -> BatchTable:
