@@ -26,7 +26,7 @@ assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
 """
 
 
-@pytest.mark.parametrize("name", ["stream_dws_traffic"])
+@pytest.mark.parametrize("name", ["stream_dws_traffic", "stream_dws_home_detail"])
 def test_stateful_query_in_a_plain_session(tmp_path, name):
     env = {k: v for k, v in os.environ.items() if not k.startswith(("PYTHONPATH", "SPARK_", "PYSPARK_SUBMIT", "PYSPARK_GATEWAY"))}
     done = subprocess.run([sys.executable, "-c", RUN, str(REPO), SMALL, str(tmp_path / "shared"), name], cwd=tmp_path, env=env,
