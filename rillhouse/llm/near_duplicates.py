@@ -5,13 +5,14 @@ frequent: the leading byte is the frequency class (from a map of all texts' n-gr
 Class 0 has n-grams that are surely in one set only; they count for the size and lead to no candidate, and only a set's others are kept.
 1. Texts with equal sets form one class; all that follows works on classes.
 2. Two sets that are similar enough share an n-gram among their first few in the global order (prefix filter), and so
-   many of these that the rest cannot fall short (count filter). A set also has a mark of ``MARK`` bits, one for each n-gram: sets differ in at least
-   as many n-grams as their marks differ in bits (difference filter). All three leave out only pairs that cannot link.
+   many of these that the rest cannot fall short (count filter). A set also has the number of its n-grams of class 0 and, of the others, a mark of
+   ``MARK`` bits, one for each n-gram: sets differ in all n-grams of class 0 of both, and in at least as many others as their marks differ in bits
+   (difference filter). All three leave out only pairs that cannot link.
 3. A candidate pair's overlap is counted by vertical partitioning: the global order is cut into fragments, each class
    keeps one row of n-grams per fragment, the fragments' partial overlaps are counted apart and summed per pair.
 4. To link groups of thousands of near copies without all their pairs, candidates come step by step: first each
-   class with one partner, that whose mark differs least among one class for each of its n-grams; this is done
-   again with other such classes while it finds links, 1 + ROUNDS times at most. Then all
+   class with one partner, that which differs least among one class for each of its n-grams, first that with the fewest n-grams of class 0;
+   this is done again with other such classes while it finds links, 1 + ROUNDS times at most. Then all
    candidates whose classes are still in different components. A pair that is left out lies within one component.
 So components are those of all links, although not every link is checked.
 
@@ -46,7 +47,7 @@ LOW = np.uint64((1 << 56) - 1)
 #: Fragments of the global order are the frequency classes.
 FRAGMENT_BITS = 56
 #: Bits of a set's mark.
-MARK = 256
+MARK = 1024
 #: Ids of candidate classes up to this number are broadcast to pick their texts; beyond, both sides are shuffled.
 BROADCAST_ROWS = 500_000
 
@@ -144,32 +145,33 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _few(batches):
-            size, sign, prefix, mark, shared = [], [], [], [], []
+            size, rare, sign, prefix, mark, shared = [], [], [], [], [], []
             for s in _sets(batch.column(2).to_pylist(), n):
                 s = _ordered(s, levels.value)
                 size.append(len(s))
                 sign.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                few = s[:len(s) + (threshold * len(s)) // -100 + 1 if len(s) else 0]
+                few, met = s[:len(s) + (threshold * len(s)) // -100 + 1 if len(s) else 0], s[s > LOW]
+                rare.append(len(s) - len(met))
                 prefix.append(few[few > LOW].astype(np.int64))
-                mark.append(_mark(s))
-                shared.append(s[s > LOW].tobytes())
+                mark.append(_mark(met))
+                shared.append(met.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(sign, pa.binary()), pa.array(prefix, pa.list_(pa.int64())),
+                [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(rare, pa.int64()), pa.array(sign, pa.binary()), pa.array(prefix, pa.list_(pa.int64())),
                  pa.array(mark, pa.list_(pa.int64())), pa.array(shared, pa.binary())],
-                ["row", "id", "size", "sign", "prefix", "mark", "shared"])
+                ["row", "id", "size", "rare", "sign", "prefix", "mark", "shared"])
 
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "id", "text")
-    found = written(numbered.mapInArrow(classify, "row long, id long, size long, sign binary, prefix array<long>, mark array<long>, shared binary"), "sets")
+    found = written(numbered.mapInArrow(classify, "row long, id long, size long, rare long, sign binary, prefix array<long>, mark array<long>, shared binary"), "sets")
     levels.destroy()  # all that needed it is written
     # A class is stood for by one of its rows.
     classes = found.where("size > 0").groupBy("sign").agg(F.min("id").alias("first_id"), F.min("row").alias("node"), F.first("size").alias("size"),
-                                                          F.first("prefix").alias("prefix"), F.first("mark").alias("mark"))
+                                                          F.first("rare").alias("rare"), F.first("prefix").alias("prefix"), F.first("mark").alias("mark"))
     classes = written(classes, "classes")
     sets = found.select(F.col("row").alias("node"), "shared")
 
     # Dealt by n-gram once, for the counts and for the join with them.
-    postings = classes.select("node", "size", F.explode("prefix").alias("gram")).repartition("gram")
-    shared = postings.groupBy("gram").agg(F.min(F.struct("node", "size")).alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
+    postings = classes.select("node", "size", "rare", F.explode("prefix").alias("gram")).repartition("gram")
+    shared = postings.groupBy("gram").agg(F.min(F.struct("rare", "node", "size")).alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
     postings = written(postings.join(shared, "gram"), "postings")
     grams = postings.drop("pivot")
 
@@ -193,16 +195,17 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
         links = links.unionAll(new)
         roots = written(components(links), "roots")
         placed = placed.drop("root").join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        placed = written(placed.select("gram", "node", "size", "root"), "placed")
+        placed = written(placed.select("gram", "node", "size", "rare", "root"), "placed")
     most = placed.groupBy("gram", "root").agg(F.count("*").alias("n")).groupBy("gram").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
     placed = placed.join(most, "gram").join(classes.select("node", "mark"), "node")
-    # Each pair has a side outside the n-gram's largest component; if both are, the smaller node comes first. Sets whose marks differ too much
+    # Each pair has a side outside the n-gram's largest component; if both are, the smaller node comes first. Sets that surely differ too much
     # do not pair, so a group of texts that are alike, but not enough, gives no rows.
-    outside = placed.where("root <> main").select("gram", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"), *_words("mark_a"))
-    other = placed.select("gram", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"), "main", *_words("mark_b"))
+    outside = placed.where("root <> main").select("gram", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"),
+                                                  F.col("rare").alias("na"), *_words("mark_a"))
+    other = placed.select("gram", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"),
+                          F.col("rare").alias("nb"), "main", *_words("mark_b"))
     low, high = F.least("sa", "sb"), F.greatest("sa", "sb")
-    differ = sum((F.bit_count(F.col(f"mark_a{i}").bitwiseXOR(F.col(f"mark_b{i}"))) for i in range(1, MARK // 64)),
-                 F.bit_count(F.col("mark_a0").bitwiseXOR(F.col("mark_b0"))))
+    differ = sum((F.bit_count(F.col(f"mark_a{i}").bitwiseXOR(F.col(f"mark_b{i}"))) for i in range(MARK // 64)), F.col("na") + F.col("nb"))
     pairs = outside.join(other, "gram").where(
         (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("main")) | (F.col("a") < F.col("b"))) & (100 * low >= threshold * high)
         & _near_enough(low + high, differ, threshold))
@@ -229,10 +232,11 @@ def _may_link(threshold: int):
 
 
 def _alike(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose marks do not differ in too many bits."""
-    marks = classes.select("node", "mark", F.col("size").alias("s"))
-    both = pairs.join(marks.toDF("a", "mark_a", "s_a"), "a").join(marks.toDF("b", "mark_b", "s_b"), "b")
-    differ = F.aggregate(F.zip_with("mark_a", "mark_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    """The pairs (a, b) that do not surely differ in too many n-grams, with the number of those."""
+    marks = classes.select("node", "mark", "rare", F.col("size").alias("s"))
+    both = pairs.join(marks.toDF("a", "mark_a", "n_a", "s_a"), "a").join(marks.toDF("b", "mark_b", "n_b", "s_b"), "b")
+    bits = F.aggregate(F.zip_with("mark_a", "mark_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    differ = F.col("n_a") + F.col("n_b") + bits
     return both.where(_near_enough(F.col("s_a") + F.col("s_b"), differ, threshold)).select(*pairs.columns, differ.alias("differ"))
 
 
