@@ -3,10 +3,10 @@
 Base patterns (e-mail, IP address, card, phone) give spans that always stay. Two high-recall generators propose
 further, overlapping candidates: runs of digits with separators, and anything around an ``@``. Boosted
 trees, one ensemble per kind, score each candidate from its format and context; a threshold per kind,
-calibrated to ``MIN_PRECISION``, selects the spans that are added. Trees are fitted on the driver from a bounded
-sample, labelled by the base patterns' checks (checksum, ranges, digit counts), which the features do not contain; scoring
-is one CASE expression per tree. The sample takes texts of each kind and others apart, by a hash of the text; precision
-counts each candidate for as many as it stands for, on scores by trees that did not see it.
+calibrated to ``MIN_PRECISION``, selects the spans that are added. All candidates of all texts are learned from, labelled by the base
+patterns' checks (checksum, ranges, digit counts), which the features do not contain. Spark finds and counts them: features are cut into ``BINS``
+by quantiles of all candidates, and the driver, which fits the trees, gets one row with a number for all candidates whose bins are alike. Scoring
+is one CASE expression per tree; precision is that of scores by trees that did not see the candidate.
 
 There is no least number of examples: with few, leaves and the measured precision shrink, the latter towards that of all kinds
 together, so fewer unlike candidates or none are added. A kind without any base span in the table adds nothing.
@@ -41,10 +41,8 @@ CONTEXT = {"near_phone": "phone|tel|call|fon|fax|mobil", "near_card": "card|visa
 FEATURES = ("n_digits", "n_chars", "n_dots", "n_blanks", "n_dashes", "n_brackets", "plus", "zero_first", "longest_run",
             "letter_before", "letter_after", "dots_after_at", *CONTEXT)
 
-#: Texts that learning sees: of all, and of each kind.
-SAMPLE_TEXTS, KIND_TEXTS = 3000, 1000
-#: Candidates of each kind, and of none, that learning sees: in one text, and in all.
-TEXT_CANDIDATES, LABEL_CANDIDATES = 50, 4000
+#: Bins of a feature.
+BINS = 16
 ROUNDS, DEPTH, RATE, LEAF = 15, 3, 0.3, 10
 #: Parts for scores by trees that did not see a row.
 PARTS = 3
@@ -144,24 +142,24 @@ def candidates(text: Column, base: Column) -> Column:
     return F.transform(F.concat(F.coalesce(mails, none), F.coalesce(numbers, none)), features)
 
 
-def _tree(x: np.ndarray, grad: np.ndarray, hess: np.ndarray, cuts: list[np.ndarray], bins: np.ndarray, depth: int,
+def _tree(x: np.ndarray, grad: np.ndarray, hess: np.ndarray, w: np.ndarray, cuts: list[np.ndarray], bins: np.ndarray, depth: int,
           least: int):
     """A regression tree as (feature, threshold, low, high), or a leaf's value; splits are sought among ``cuts``
-    and leave ``least`` rows on each side."""
+    and leave ``least`` candidates on each side."""
     leaf = float(RATE * grad.sum() / (hess.sum() + 1))
     gain, split = 1e-6, None
-    if depth and len(x) >= 2 * least:
+    if depth and w.sum() >= 2 * least:
         g, h = grad.sum(), hess.sum()
         for f, at in enumerate(cuts):
-            low_g, low_h, low_n = (np.cumsum(np.bincount(bins[:, f], w, len(at) + 1))[:-1] for w in (grad, hess, None))
+            low_g, low_h, low_n = (np.cumsum(np.bincount(bins[:, f], v, len(at) + 1))[:-1] for v in (grad, hess, w))
             worth = low_g ** 2 / (low_h + 1) + (g - low_g) ** 2 / (h - low_h + 1) - g * g / (h + 1)
-            worth[(low_n < least) | (len(x) - low_n < least)] = 0
+            worth[(low_n < least) | (w.sum() - low_n < least)] = 0
             if len(at) and worth.max() > gain:
                 gain, split = worth.max(), (f, float(at[worth.argmax()]))
     if split is None:
         return leaf
     low = x[:, split[0]] <= split[1]
-    return *split, *(_tree(x[m], grad[m], hess[m], cuts, bins[m], depth - 1, least) for m in (low, ~low))
+    return *split, *(_tree(x[m], grad[m], hess[m], w[m], cuts, bins[m], depth - 1, least) for m in (low, ~low))
 
 
 def _value(tree, x: np.ndarray) -> np.ndarray:
@@ -171,15 +169,15 @@ def _value(tree, x: np.ndarray) -> np.ndarray:
     return np.where(x[:, f] <= t, _value(low, x), _value(high, x))
 
 
-def boosted(x: np.ndarray, y: np.ndarray) -> list:
-    """Trees whose summed values are the log odds of ``y``; leaves shrink towards 0, and get smaller with few positives."""
-    least = int(min(LEAF, max(1, y.sum() // 4)))
-    cuts = [np.unique(np.quantile(c, np.linspace(0, 1, 17), method="lower"))[:-1] for c in x.T]
+def boosted(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> list:
+    """Trees whose summed values are the log odds of ``y``, each row ``w`` times; leaves shrink towards 0, and get smaller with few positives."""
+    least = int(min(LEAF, max(1, (w * y).sum() // 4)))
+    cuts = [np.unique(c)[:-1] for c in x.T]
     bins = np.stack([np.searchsorted(c, v) for c, v in zip(cuts, x.T)], axis=1)
     total, trees = np.zeros(len(y)), []
     for _ in range(ROUNDS):
         p = 1 / (1 + np.exp(-total))
-        trees.append(_tree(x, y - p, p * (1 - p), cuts, bins, DEPTH, least))
+        trees.append(_tree(x, w * (y - p), w * p * (1 - p), w, cuts, bins, DEPTH, least))
         total = total + _value(trees[-1], x)
     return trees
 
@@ -188,14 +186,12 @@ def scored(trees: list, x: np.ndarray) -> np.ndarray:
     return sum((_value(t, x) for t in trees), np.zeros(len(x)))
 
 
-def crossed(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Each row's score by trees that did not see it; positives and others are dealt to the parts evenly."""
-    part, out = np.zeros(len(y), int), np.zeros(len(y))
-    for c in (0, 1):
-        part[y == c] = np.arange((y == c).sum()) % PARTS
+def crossed(x: np.ndarray, y: np.ndarray, w: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Each row's score by trees that did not see its part."""
+    out = np.zeros(len(y))
     for k in range(PARTS):
         if (part == k).any() and (part != k).any():
-            out[part == k] = scored(boosted(x[part != k], y[part != k]), x[part == k])
+            out[part == k] = scored(boosted(x[part != k], y[part != k], w[part != k]), x[part == k])
     return out
 
 
@@ -220,14 +216,14 @@ def lowest_precise(scores: dict[str, np.ndarray], ys: dict[str, np.ndarray], w:
     return found
 
 
-def fit_trees(x: np.ndarray, labels: list[str | None], w: np.ndarray) -> dict[str, tuple[list, float]]:
-    """For each kind with positives its trees and the lowest sum of their values that is precise enough, both on rows
-    the trees did not see and on all; ``w`` says how many candidates a row stands for."""
+def fit_trees(x: np.ndarray, labels: list[str | None], w: np.ndarray, part: np.ndarray) -> dict[str, tuple[list, float]]:
+    """For each kind with positives its trees and the lowest sum of their values that is precise enough, both on parts
+    the trees did not see and on all; ``w`` says how many candidates a row counts."""
     ys = {k: y for k in KINDS if (y := np.array([v == k for v in labels], float)).any()}
     if not ys:
         return {}
-    trees = {k: boosted(x, y) for k, y in ys.items()}
-    unseen = lowest_precise({k: crossed(x, y) for k, y in ys.items()}, ys, w)
+    trees = {k: boosted(x, y, w) for k, y in ys.items()}
+    unseen = lowest_precise({k: crossed(x, y, w, part) for k, y in ys.items()}, ys, w)
     seen = lowest_precise({k: scored(t, x) for k, t in trees.items()}, ys, w)
     return {k: (trees[k], max(unseen[k], seen[k])) for k in ys if k in unseen and k in seen}
 
@@ -239,51 +235,31 @@ def tree_column(tree, c: Column) -> Column:
     return F.when(c[FEATURES[f]] <= t, tree_column(low, c)).otherwise(tree_column(high, c))
 
 
-def _sample(docs: DataFrame, text_col: str) -> list:
-    """Bounded rows of candidates with ``w``, the number of candidates each stands for.
-
-    Texts come by their hash: the first ``SAMPLE_TEXTS`` of all, and for each kind the first ``KIND_TEXTS`` with a base span of it.
-    """
+def _counts(docs: DataFrame, text_col: str) -> list:
+    """All candidates by part, label and bins, with their number ``w``; a bin is named by its greatest value, the last by the cut before it and one more."""
     text = F.col("t")
-    rows = docs.select(F.col(text_col).alias("t")).where(text.rlike("[0-9@]")).withColumn("key", F.xxhash64("t"))
-    kinds = let(base_spans(text), lambda b: sum((F.exists(b, lambda x: x["k"] == k).cast("int") * (1 << k) for k in range(len(KINDS))), F.lit(0)))
-    # Copies of a text count once.
-    marks = written(rows.select("key", fenced(kinds).alias("kinds")).groupBy("key").agg(F.max("kinds").alias("kinds")), "personal-data-kinds")
-    has = [F.col("kinds").bitwiseAND(1 << k) != 0 for k in range(len(KINDS))]
-    top = (1 << 63) - 1
-    bounds = []
-    for size, where in [(SAMPLE_TEXTS, F.lit(True)), *[(KIND_TEXTS, h) for h in has]]:
-        n, last = marks.where(where).select("key").orderBy("key").limit(size).agg(F.count("*"), F.max("key")).first()
-        bounds.append(last if n == size else top)
-    bound = F.greatest(F.lit(bounds[0]).cast("long"), *[F.when(h, F.lit(b).cast("long")) for h, b in zip(has, bounds[1:])])
-    picked = marks.withColumn("bound", bound).where("key <= bound").select(
-        "key", (F.lit(2.0 ** 64) / (F.col("bound").cast("double") + 2.0 ** 63)).alias("w"))
-    found = rows.join(F.broadcast(picked), "key").groupBy("key").agg(F.first("t").alias("t"), F.first("w").alias("w"))
-    found = found.withColumn("b", fenced(base_spans(text)))
-    found = found.withColumn("c", fenced(F.sort_array(F.transform(candidates(text, F.col("b")), lambda c: F.struct(
-        F.xxhash64("key", c["s"], c["e"]).alias("h"), c.alias("c"))))))
-
-    def few(label: str | None) -> Column:
-        return let(F.filter("c", lambda x: x["c"]["label"].eqNullSafe(F.lit(label))), lambda own: F.transform(
-            F.slice(own, 1, TEXT_CANDIDATES), lambda x: F.struct(
-                x["h"].alias("h"), x["c"].alias("c"), (F.col("w") * F.greatest(F.lit(1.0), F.size(own) / TEXT_CANDIDATES)).alias("w"))))
-
-    labels = (*KINDS, None)
-    held = written(found.select(F.explode(F.concat(*map(few, labels))).alias("x")).select("x.*"), "personal-data-candidates")
-    number = {r["label"]: r["n"] for r in held.groupBy(F.col("c.label").alias("label")).agg(F.count("*").alias("n")).collect()}
-    out = []
-    for label in labels:
-        more = max(1.0, number.get(label, 0) / LABEL_CANDIDATES)
-        some = held.where(F.col("c.label").eqNullSafe(F.lit(label))).orderBy("h", "c.s", "c.e").limit(LABEL_CANDIDATES)
-        out += some.select("c.*", (F.col("w") * more).alias("w")).collect()
-    return out
+    rows = docs.select(F.col(text_col).alias("t")).where(text.rlike("[0-9@]"))
+    texts = rows.groupBy(F.xxhash64("t").alias("key")).agg(F.first("t").alias("t"))  # copies of a text count once
+    found = texts.withColumn("b", fenced(base_spans(text)))
+    found = found.select("key", F.explode(fenced(candidates(text, F.col("b")))).alias("c")).select("key", "c.*")
+    part = F.pmod(F.xxhash64("key", "s", "e"), F.lit(PARTS)).alias("part")
+    held = written(found.groupBy(part, "label", *FEATURES).agg(F.count("*").alias("w")), "personal-data-candidates")
+    at = ", ".join(str(k / BINS) for k in range(BINS + 1))
+    cuts = held.agg(*[F.expr(f"percentile({f}, array({at}), w)").alias(f) for f in FEATURES]).first()
+
+    def binned(f: str) -> Column:
+        ends = sorted({int(v) for v in cuts[f] or ()})[:-1]
+        return F.coalesce(*[F.when(F.col(f) <= v, F.lit(v)) for v in ends], F.lit(ends[-1] + 1 if ends else 0)).alias(f)
+
+    # At most some thousands of rows, see the README; in order, so that sums are the same each time.
+    return held.groupBy("part", "label", *map(binned, FEATURES)).agg(F.sum("w").alias("w")).orderBy("part", "label", *FEATURES).collect()
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> dict[str, tuple[list, float]]:
-    """Trees and threshold by kind, from a bounded sample of candidates; a kind without base spans has none."""
-    found = _sample(docs, text_col)
+    """Trees and threshold by kind, from all candidates; a kind without base spans has none."""
+    found = _counts(docs, text_col)
     x = np.array([[r[f] for f in FEATURES] for r in found], float).reshape(-1, len(FEATURES))
-    return fit_trees(x, [r["label"] for r in found], np.array([r["w"] for r in found], float))
+    return fit_trees(x, [r["label"] for r in found], *(np.array([r[c] for r in found], float) for c in ("w", "part")))
 
 
 def added_spans(text: Column, base: Column, model: dict[str, tuple[list, float]]) -> Column:
