@@ -13,12 +13,13 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round joins neighbours to smaller ones by aggregation and join only; no group's rows are gathered.
     Rounds end when all edges point at roots, each node at one; their number grows with the logarithm of a component's size.
+    The edges and both steps of a round are written, as each is read several times: one plan of all would hold the edges' own a dozen times.
     """
-    now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while True:
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = written(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")), "large-star")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = written(small.unionAll(least.withColumnRenamed("m", "b")).where("a <> b").distinct(), "components")

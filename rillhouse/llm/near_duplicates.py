@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import ship, written
+from rillhouse.llm.common import release, ship, written
 from rillhouse.llm.components import components
 from rillhouse.llm.words import chunks, hashed_words, shingles
 
@@ -177,8 +177,7 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
 
     first = postings.where("node <> pivot.node").groupBy(F.col("node").alias("a"), F.col("pivot.node").alias("b")).agg(
         F.count("*").alias("common"), F.first(F.least("size", "pivot.size")).alias("low"), F.first(F.greatest("size", "pivot.size")).alias("high"))
-    first = _alike(first.where(_may_link(threshold)), classes, threshold).groupBy("a").agg(F.min_by("b", F.struct("differ", -F.col("common"), "b")).alias("b"))
-    links = _verified(first, sets, classes, threshold)
+    links = _verified(_nearest(_alike(first.where(_may_link(threshold)), classes, threshold)), sets, threshold)
     roots = written(components(links), "roots")
 
     placed = grams.join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -188,8 +187,7 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
         pivots = placed.groupBy("gram").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "size", "root")).alias("p"))
         near = placed.join(pivots, "gram").where("root <> p.root").groupBy(F.col("node").alias("a"), F.col("p.node").alias("b")).agg(
             F.count("*").alias("common"), F.first(F.least("size", "p.size")).alias("low"), F.first(F.greatest("size", "p.size")).alias("high"))
-        near = _alike(near.where(_may_link(threshold)), classes, threshold).groupBy("a").agg(F.min_by("b", F.struct("differ", -F.col("common"), "b")).alias("b"))
-        new = _verified(near, sets, classes, threshold)
+        new = _verified(_nearest(_alike(near.where(_may_link(threshold)), classes, threshold)), sets, threshold)
         if new.limit(1).count() == 0:
             break
         links = links.unionAll(new)
@@ -211,8 +209,9 @@ def link_near_duplicates(docs: DataFrame, n: int = 5, threshold: int = 80, id_co
         & _near_enough(low + high, differ, threshold))
     pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
         F.count("*").alias("common"), F.first(low).alias("low"), F.first(high).alias("high"))
-    more = _verified(pairs.where(_may_link(threshold)).select("a", "b"), sets, classes, threshold)
-    roots = components(links.unionAll(more))
+    more = _verified(pairs.where(_may_link(threshold)).select("a", "b", (F.col("low") + F.col("high")).alias("total")), sets, threshold)
+    if more.limit(1).count():  # else the roots are those of all links already
+        roots = components(links.unionAll(more))
 
     named = classes.join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
@@ -240,6 +239,12 @@ def _alike(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     return both.where(_near_enough(F.col("s_a") + F.col("s_b"), differ, threshold)).select(*pairs.columns, differ.alias("differ"))
 
 
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """For each a the pair (a, b) that differs least, with the sum of both sizes."""
+    best = F.min(F.struct("differ", (-F.col("common")).alias("common"), "b", (F.col("low") + F.col("high")).alias("total"))).alias("best")
+    return pairs.groupBy("a").agg(best).select("a", "best.b", "best.total")
+
+
 def _near_enough(total, differ, threshold: int):
     """The difference filter: sets with ``total`` n-grams together, of which at least ``differ`` are in one of them only."""
     return (100 + threshold) * (total - differ) >= 2 * threshold * total
@@ -255,8 +260,8 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) of classes that are similar enough, by summed overlaps of fragments."""
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) of classes, given with the sum of their sizes, that are similar enough, by summed overlaps of fragments."""
     pairs = written(pairs, "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
@@ -274,10 +279,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, classes: DataFrame, threshold:
     parts = written(parts, "fragments")
     left, right = (parts.select(F.col("node").alias(c), "part", F.col("grams").alias(f"grams_{c}")) for c in "ab")
     both = pairs.join(left, "a").join(right, ["b", "part"])
-    partial = both.select("a", "b", F.size(F.array_intersect("grams_a", "grams_b")).alias("n"))
-    overlap = partial.groupBy("a", "b").agg(F.sum("n").alias("overlap"))
-    sizes = classes.select("node", "size")
-    overlap = overlap.join(sizes.select(F.col("node").alias("a"), F.col("size").alias("sa")), "a").join(
-        sizes.select(F.col("node").alias("b"), F.col("size").alias("sb")), "b")
-    fits = 100 * F.col("overlap") >= threshold * (F.col("sa") + F.col("sb") - F.col("overlap"))
-    return written(overlap.where(fits).select("a", "b"), "links")
+    partial = both.select("a", "b", "total", F.size(F.array_intersect("grams_a", "grams_b")).alias("n"))
+    overlap = partial.groupBy("a", "b").agg(F.sum("n").alias("overlap"), F.first("total").alias("total"))
+    fits = 100 * F.col("overlap") >= threshold * (F.col("total") - F.col("overlap"))
+    links = written(overlap.where(fits).select("a", "b"), "links")
+    release(links.sparkSession)
+    return links
