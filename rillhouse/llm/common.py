@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -41,6 +42,15 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Returns to the system what this process has freed: a Python worker outlives its task and serves later stages, whose
+    memory would come on top. What the C library keeps of many small arrays goes back only where it is glibc."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def lower_ascii(text):
     """A-Z in lower case, all else unchanged."""
     return F.translate(text, UPPER, LOWER)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import release, ship, written
+from rillhouse.llm.common import give_back, release, ship, written
 from rillhouse.llm.components import components
 from rillhouse.llm.words import chunks, hashed_words, shingles
 
@@ -53,11 +53,11 @@ BROADCAST_ROWS = 500_000
 
 
 def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same rows, at most ``ROWS`` at a time; what Arrow holds beyond that goes back to the system between batches."""
+    """The same rows, at most ``ROWS`` at a time; what is free beyond that goes back to the system after each batch."""
     for batch in batches:
         for start in range(0, batch.num_rows, ROWS):
             yield batch.slice(start, ROWS)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def _sets(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
@@ -97,6 +97,8 @@ def frequency_classes(texts: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]
                     waiting, size = [], 0
         if size:
             yield packed(waiting)
+        del waiting
+        give_back()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits: dict[int, np.ndarray] = {}
@@ -107,11 +109,14 @@ def frequency_classes(texts: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]
                 first = np.flatnonzero(np.diff(at, prepend=np.uint32(width)))  # no place is that high
                 held = hits.setdefault(b, np.zeros(width, np.uint32))
                 held[at[first]] += np.diff(first, append=k).astype(np.uint32)
-        for b, held in hits.items():
+        while hits:
+            b, held = hits.popitem()
             most = held.reshape(-1, 1 << GROUP_BITS).max(axis=1)
             level = np.log2(np.maximum(most, 1)).astype(np.uint8) + np.uint8(1)
             yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([np.packbits(held > 1).tobytes()], pa.binary()),
                                               pa.array([level.tobytes()], pa.binary())], ["block", "twice", "levels"])
+            del held
+            give_back()
 
     parts = texts.mapInArrow(spread, "block long, n long, steps binary").repartition(BLOCKS, "block")
     twice, levels = np.zeros((BLOCKS, width // 8), np.uint8), np.ones((BLOCKS, width >> GROUP_BITS), np.uint8)
