@@ -36,3 +36,19 @@ def test_details_are_one_text_between_scan_and_result(changes):
     found = plan(PF.dwd_order_detail(order_feed(changes)))
     assert "packed#" in found and "hashpartitioning(id" in found
     assert all("sku_name" not in line for line in found.splitlines() if "SortAggregate" in line or "Sort [" in line)
+
+
+def test_payments_meet_details_where_these_lie(spark, changes, dic, monkeypatch):
+    """Without orders of very many rows the payments' join deals no detail out again; with such, it spreads them over time."""
+    paid = changes(*[("payment_info", "u", ts, {"payment_status": "1601"}, {"order_id": "o1", "payment_type": "1", "payment_status": "1602"})
+                     for ts in (1_000, 10**9)])
+    feed = order_feed(changes).unionByName(paid)
+
+    def job():
+        return PF.dwd_pay_suc(feed, PF.dwd_order_detail(feed), dic, before_ms=10**13, after_ms=10**13)
+
+    plain = job()
+    assert "bucket" not in plan(plain) and "Exchange hashpartitioning(order_id" in plan(plain)
+    monkeypatch.setattr(PF, "hot_keys", lambda df, key: df.select(key))
+    spread = job()
+    assert "bucket" in plan(spread) and rows_of(spread) == rows_of(plain) != []
