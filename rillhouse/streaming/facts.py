@@ -1,4 +1,4 @@
-"""Payments and traffic windows over streams."""
+"""Traffic windows over streams."""
 
 from __future__ import annotations
 
@@ -6,28 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse import settings as S
-from rillhouse.operators import facts as P
 from rillhouse.operators import windows as W
 from rillhouse.operators.bands import timed
-from rillhouse.operators.clean import Changes
-from rillhouse.operators.joins import interval_join
-from rillhouse.plans.bands import SALTS
 from rillhouse.streaming.visitors import SESSION, daily_row, first_events_stream, session_row
 
 
-def pay_suc_stream(changes: Changes, order_detail: DataFrame, db: str = S.SOURCE_DB,
-                   before_ms: int = S.PAY_BEFORE_MS, after_ms: int = S.PAY_AFTER_MS) -> DataFrame:
-    """Paid details, the payment's kind as its code.
-
-    ``order_detail`` comes from ``read_order_detail``, with its watermark on ``et``, or without any.
-    """
-    payments = timed(P.payment_src(changes, db).select(
-        "order_id", F.col("payment_type").alias("payment_type_code"), "callback_time",
-        F.col("ts").alias("pay_ts")), "et", ms="pay_ts")
-    details = order_detail.withColumnRenamed("et", "row_et") if "et" in order_detail.columns else timed(order_detail, "row_et")
-    return interval_join(payments, details, "order_id", before_ms=before_ms, after_ms=after_ms, salts=SALTS).drop("et", "row_et")
-
-
 def traffic_stream(pages: DataFrame, size: str = S.TRAFFIC_WINDOW, delay: str = S.PAGE_DELAY,
                    gap_ms: int = S.SESSION_GAP_MS) -> DataFrame:
     """Page views, daily visitors and sessions in one window sum: all views, and the events that count."""
