@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from datetime import datetime, timedelta, timezone
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
@@ -23,6 +24,7 @@ VISIT_BUCKETS = 64
 DAY_MS = 86_400_000
 # Days of one device whose state is one value, a bit for each.
 SPAN = 32
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 # Workers get what they run of this module by value, as they need not have the package. Files added to the session do not reach all of
 # them: a stateful step is first set up by a worker on the driver that has none of these.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -51,9 +53,9 @@ SESSION = "session"
 
 
 def visit_row(kind: Column | str, key: Column, bucket: Column, keep: dict[str, Column]) -> Column:
-    """One candidate event: what it is first of, for which key, in which time bucket; null without key."""
+    """One candidate event: what it is first of, for which key, in which time bucket; null without key or time."""
     kind = F.lit(kind) if isinstance(kind, str) else kind
-    return F.when(key.isNotNull(), F.struct(
+    return F.when(key.isNotNull() & F.col("ts").isNotNull(), F.struct(
         kind.alias("kind"), key.alias("key"), bucket.cast("bigint").alias("bucket"), F.col("ts"),
         *[c.alias(n) for n, c in keep.items()]))
 
@@ -76,7 +78,7 @@ class FirstEvents(StatefulProcessor):
     """
 
     def __init__(self, names: list[str], gap_ms: int):
-        self.names, self.gap_ms = names, gap_ms
+        self.names, self.gap_ms, self.named = names, gap_ms, Row(*names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle, self.seen = handle, handle.getValueState("seen", "value bigint")
@@ -84,22 +86,37 @@ class FirstEvents(StatefulProcessor):
     def _ends(self, key: tuple, seen: int) -> int:
         return seen + self.gap_ms if key[0] == SESSION else (key[2] + 1) * SPAN * DAY_MS
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        buckets = first_per_bucket(pd.concat(list(rows)), ["bucket"]).sort_values("bucket")
-        known = self.seen.exists()
-        held = self.seen.get()[0] if known else None
-        if key[0] == SESSION:
-            opened, seen = open_sessions(buckets, held, self.gap_ms)
-        else:
-            bits = 2 ** (buckets["bucket"] % SPAN).astype("int64")
-            opened = (bits & (held or 0)) == 0
-            seen = (held or 0) | int(bits.sum())  # each day is one row
-        self.seen.update((seen,))
-        if not known:
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        # A key mostly has one row or two, so plain rows are far cheaper than a frame for each key; so is one call for the state.
+        firsts: dict[int, tuple[Row, int]] = {}
+        for row in rows:
+            held = firsts.get(row.bucket)
+            if held is None:
+                firsts[row.bucket] = row, row.last_ts
+            else:
+                firsts[row.bucket] = row if row.ts < held[0].ts else held[0], max(row.last_ts, held[1])
+        known = self.seen.get()
+        last = seen = None if known is None else known[0]
+        opened = []
+        for bucket in sorted(firsts):
+            row, last_ts = firsts[bucket]
+            if key[0] == SESSION:
+                if seen is None or row.ts - seen >= self.gap_ms:
+                    opened.append(row)
+                seen = last_ts if seen is None else max(seen, last_ts)
+            else:
+                bit = 1 << bucket % SPAN
+                if not bit & (seen or 0):
+                    opened.append(row)
+                seen = (seen or 0) | bit
+        if seen != last:
+            self.seen.update((seen,))
+        if known is None:
             self.handle.registerTimer(self._ends(key, seen))
-        yield buckets.loc[opened, self.names]
+        for row in opened:
+            yield self.named(*[row[n] for n in self.names[:-1]], EPOCH + timedelta(milliseconds=row.ts))
 
-    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         ends = self._ends(key, self.seen.get()[0])
         if ends > timerValues.getCurrentWatermarkInMs():
             self.handle.registerTimer(ends)  # the session went on
@@ -125,7 +142,7 @@ def first_events_stream(pages: DataFrame, rows: list[Column], keep: dict[str, Co
     is available, give the same events.
     """
     fields = "".join(f", {n} string" for n in keep)
-    names = ["kind", "key", "ts", *keep, "et"]
+    names = ["kind", "key", "ts", *keep, "et"]  # the time comes last
 
     def reduce_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -136,7 +153,7 @@ def first_events_stream(pages: DataFrame, rows: list[Column], keep: dict[str, Co
     # A session is one key, a device one for each span of days.
     span = F.when(F.col("kind") != SESSION, F.floor(F.col("bucket") / SPAN)).otherwise(0).cast("bigint")
     timed = reduced.withColumn("et", event_time(F.col("ts"))).withWatermark("et", delay).withColumn("span", span)
-    return timed.groupBy("kind", "key", "span").transformWithStateInPandas(
+    return timed.groupBy("kind", "key", "span").transformWithState(
         FirstEvents(names, gap_ms), f"kind string, key string, ts bigint{fields}, et timestamp", "Append", "EventTime", eventTimeColumnName="et")
 
 
@@ -145,12 +162,3 @@ def first_per_bucket(rows: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
     rows = rows.sort_values("ts", kind="stable")
     rows = rows.assign(last_ts=rows.groupby(keys)["last_ts"].transform("max"))
     return rows.drop_duplicates(keys)
-
-
-def open_sessions(buckets: pd.DataFrame, last: int | None, gap_ms: int) -> tuple[pd.Series, int]:
-    """Which buckets' first events open a session, and the last time seen; buckets are in order."""
-    seen = buckets["last_ts"].cummax()
-    before = seen.shift()
-    if last is not None:
-        before, seen = before.fillna(last).clip(lower=last), seen.clip(lower=last)
-    return before.isna() | (buckets["ts"] - before >= gap_ms), int(seen.iloc[-1])
